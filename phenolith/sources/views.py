@@ -158,6 +158,11 @@ def lkp_fields(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(LKP_FIELDS), "field_id int, title string")
 
 
+def lkp_fields_sql() -> str:
+    rows = ", ".join(f"({f}, '{t}')" for f, t in LKP_FIELDS)
+    return f"SELECT * FROM (VALUES {rows}) v(field_id, title)"
+
+
 def oracle_ctes(names: list[str] | tuple[str, ...] | None = None) -> str:
     """``WITH`` clause text defining the named raw views for DuckDB (all views if ``names`` is None)."""
     names = list(RAW_VIEWS) if names is None else list(names)
@@ -165,6 +170,5 @@ def oracle_ctes(names: list[str] | tuple[str, ...] | None = None) -> str:
     if "raw_wide" in names:
         parts.append(f"raw_wide AS ({wide_sql(chr(34))}\n)")
     if "lkp_fields" in names:
-        rows = ", ".join(f"({f}, '{t}')" for f, t in LKP_FIELDS)
-        parts.append(f"lkp_fields AS (SELECT * FROM (VALUES {rows}) v(field_id, title))")
+        parts.append(f"lkp_fields AS ({lkp_fields_sql()})")
     return "WITH " + ",\n".join(parts) + "\n"
