@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,6 +151,9 @@ def describe_values(df: DataFrame, col: str, minimum: float | None = None, maxim
     raw = F.col(col)
     is_num_type = dict(df.dtypes)[col] in ("double", "float", "int", "bigint", "smallint", "tinyint") \
         or dict(df.dtypes)[col].startswith("decimal")
+    # the column is read by three passes (statistics, value counts, ranks): keep it after the first
+    df = df.select(raw.alias(col)).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = F.col(col)
     missing = raw.isNull() | (F.isnan(raw) if is_num_type else F.lit(False))
     x = X.try_cast(raw, "double")
     finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(math.inf))
@@ -189,6 +193,7 @@ def describe_values(df: DataFrame, col: str, minimum: float | None = None, maxim
         out["median"] = pct(50)
         out["IQR"] = pct(75) - pct(25)
         out["min"], out["max"], out["std"] = stats["min"], stats["max"], stats["std"]
+    df.unpersist()
     row = []
     for k in R6_COLUMNS:
         v = out[k]

@@ -220,7 +220,11 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
     m = matches.where(~F.col("field_id").isin(*non_survey))
     if fields is not None:
         m = m.where(F.col("field_id").isin(*tuple(fields)))
-    b = sources.baseline.select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
+    # only the fields the definitions use are read (a static filter: partition pruning on a long table
+    # stored by field, and union-branch pruning on the fixture views)
+    used = sorted({int(r.field_id) for r in m.select("field_id").distinct().collect()})  # catalogue-sized
+    b = sources.baseline.where(F.col("field").isin(*used)) \
+        .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
 
     exact = match_exact(b, m).withColumn("match", F.lit("exact"))
     if undated:
