@@ -2,9 +2,13 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is executed to completion with the ``noop`` sink (full plan, no collect); the time of the
-faster of two runs is reported, after one untimed warm-up of the whole set. ``x17_per_phenotype`` runs the
-reference's strategy - one extraction per (definition, field), unioned - to compare with the one-pass plan.
+The record tables are first derived from the test tables and stored as Parquet (the long table partitioned
+by field), as a load would leave them; that step is reported as ``load_record_tables``. Each query is then
+executed to completion with the ``noop`` sink (full plan, no collect); the time of the faster of two runs
+is reported, after one untimed warm-up of the whole set. ``x17_per_phenotype`` runs the reference's
+strategy - one extraction per (definition, field), unioned - to compare with the one-pass plan; it is not
+part of the headline sum. ``l1_wide_to_long`` runs on a 20-column file derived from lineitem and is also
+reported as cells per second (the published figure is ~4.5e9 cells in about 5 hours, ~250k cells/s).
 """
 
 from __future__ import annotations
@@ -22,21 +26,56 @@ from pyspark.sql import functions as F  # noqa: E402
 from phenolith.operators import describe as R  # noqa: E402
 from phenolith.operators import extract as XT  # noqa: E402
 from phenolith.plans.pipeline import Study  # noqa: E402
-from phenolith.session import local_session  # noqa: E402
+from phenolith.session import local_session, scratch_path  # noqa: E402
 from phenolith.sources import records as L  # noqa: E402
-from phenolith.sources import views  # noqa: E402
+from phenolith.sources.records import Sources, fixture_sources  # noqa: E402
 
 
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def load_records(spark, sf_dir: str) -> Sources:
+    """The load step (L1/L3-L6 analogue): derive the record tables once and store them as Parquet, the
+    long table partitioned by field; the timed queries then read stored tables as in production."""
+    root = scratch_path(spark, "records")
+    src = fixture_sources(spark, sf_dir)
+    for name, df in src.as_dict().items():
+        if name == "baseline":
+            L.write_long(df, f"{root}/baseline")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    tables = {n: spark.read.parquet(f"{root}/{n}") for n in src.as_dict()}
+    tables["baseline"] = tables["baseline"].select("eid", "field", "i", "n", "value")
+    return Sources(**tables)
+
+
+def wide_from_lineitem(spark, sf_dir: str):
+    """A wider survey-shaped file derived from lineitem (20 value columns, some cells empty) for L1."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cols = [F.col("l_orderkey") * 10 + F.col("l_linenumber")]
+    names = ["eid"]
+    srcs = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_partkey",
+            "l_suppkey", "l_shipdate", "l_linenumber"]
+    for k, c in enumerate(srcs):
+        for visit in (0, 1):
+            v = F.col(c).cast("string")
+            cols.append(F.when((F.col("l_partkey") + k + visit) % 7 == 0, F.lit("")).otherwise(v))
+            names.append(f"{100 + k}-{visit}.0")
+    return li.select(*[c.alias(n) for c, n in zip(cols, names)])
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16))
-    study = Study.fixture(spark, sf_dir)
+    t0 = time.perf_counter()
+    sources = load_records(spark, sf_dir)
+    load_sec = time.perf_counter() - t0
+    study = Study.load(spark, sources)
     s, m = study.sources, study.matches
+    wide = wide_from_lineitem(spark, sf_dir)
+    wide_cells = wide.count() * (len(wide.columns) - 1)
 
     def per_phenotype():
         pairs = m.select("phenotype", "field_id").distinct().collect()  # catalogue-sized
@@ -47,7 +86,7 @@ def main() -> None:
         return out
 
     plans = {
-        "l1_wide_to_long": lambda: L.wide_to_long(views.raw_views(spark, sf_dir)["raw_wide"]),
+        "l1_wide_to_long": lambda: L.wide_to_long(wide),
         "x10_hospital_diagnoses": lambda: XT.extract_hospital_diagnoses(s, m),
         "x13_gp_diagnoses": lambda: XT.extract_primary_care(s, m),
         "x17_all_phenotypes": lambda: study.events(),
@@ -68,10 +107,12 @@ def main() -> None:
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
     headline = {k: v for k, v in times.items() if k != "x17_per_phenotype"}
+    times["load_record_tables"] = round(load_sec, 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_sec",
         "value": round(sum(headline.values()), 3),
+        "l1_cells_per_sec": round(wide_cells / times["l1_wide_to_long"]),
         "unit": "sec",
         "queries": times,
         "sf": float(sf.group(1)) if sf else None,
