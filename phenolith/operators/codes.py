@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -336,15 +337,42 @@ def match_table(codes: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class MatchInfo:
+    """Facts about a match table the plans need on the driver, gathered by one aggregate (all bounded by
+    the definition corpus: a row count, a few code lengths, the fields in use)."""
+
+    n_rows: int
+    prefix_lengths: tuple[int, ...]
+    fields: tuple[int, ...]
+    qual_fields: tuple[int, ...]
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.n_rows <= BROADCAST_ROW_LIMIT
+
+
+def match_info(matches: DataFrame) -> MatchInfo:
+    r = matches.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sort_array(F.collect_set(F.when(F.col("match") == "prefix", F.col("code_len")))).alias("lens"),
+        F.sort_array(F.collect_set("field_id")).alias("fields"),
+        F.sort_array(F.collect_set("qual_field")).alias("quals"),
+    ).first()
+    return MatchInfo(int(r.n), tuple(int(x) for x in r.lens), tuple(int(x) for x in r.fields),
+                     tuple(int(x) for x in r.quals))
+
+
 def prefix_lengths(matches: DataFrame) -> list[int]:
     """Distinct prefix lengths in the match table (a handful; bounded by the code width)."""
     rows = matches.where(F.col("match") == "prefix").select("code_len").distinct().collect()
     return sorted(int(r.code_len) for r in rows)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast a catalogue-derived table only after checking its size; otherwise leave the join to AQE."""
-    n = df.count()
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, n_rows: int | None = None) -> DataFrame:
+    """Broadcast a catalogue-derived table only after checking its size; otherwise leave the join to AQE.
+    ``n_rows`` is a known upper bound of the row count (e.g. of the unfiltered match table)."""
+    n = df.count() if n_rows is None else n_rows
     return F.broadcast(df) if n <= limit else df
 
 

@@ -62,26 +62,35 @@ def _restrict(matches: DataFrame, fields: Iterable[int], kind: str | None = None
     return m
 
 
-def _probe(matches: DataFrame, cols: list[str]) -> DataFrame:
-    return K.broadcast_if_small(matches.select(*cols))
+def _probe(matches: DataFrame, cols: list[str], info: K.MatchInfo) -> DataFrame:
+    # the row count of the whole match table bounds every filtered part of it
+    return K.broadcast_if_small(matches.select(*cols), n_rows=info.n_rows)
+
+
+def _info(matches: DataFrame, info: K.MatchInfo | None) -> K.MatchInfo:
+    return info if info is not None else K.match_info(matches)
 
 
 # ----------------------------------------------------------------------------------------------
 # matching primitives
 # ----------------------------------------------------------------------------------------------
 
-def match_exact(records: DataFrame, matches: DataFrame, value_col: str = "field_value") -> DataFrame:
+def match_exact(records: DataFrame, matches: DataFrame, value_col: str = "field_value",
+                info: K.MatchInfo | None = None) -> DataFrame:
     """Records (with ``field_id`` and ``value_col``) x exact codes; one row per matching (definition, type)."""
     m = _probe(matches.where(F.col("match") == "exact"),
-               ["field_id", "code", "phenotype", "type", "qual_type", "qual_field"])
+               ["field_id", "code", "phenotype", "type", "qual_type", "qual_field"], _info(matches, info))
     return records.join(m, (records["field_id"] == m["field_id"]) & (records[value_col] == m["code"]), "inner") \
         .drop(m["field_id"]).drop("code")
 
 
-def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field_value") -> DataFrame:
-    """Records x prefix codes (minimal cover): each record is matched at most once per (definition, type)."""
+def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field_value",
+                 info: K.MatchInfo | None = None) -> DataFrame:
+    """Records x prefix codes (minimal cover): each record is matched at most once per (definition, type).
+    Candidate prefixes are generated for the code lengths in use (a superset is harmless)."""
+    info = _info(matches, info)
     pm = matches.where(F.col("match") == "prefix")
-    lengths = K.prefix_lengths(pm)
+    lengths = info.prefix_lengths
     if not lengths:
         return records.limit(0).withColumns({
             "phenotype": F.lit(None).cast("string"), "type": F.lit(None).cast("string"),
@@ -89,7 +98,7 @@ def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field
     folded = F.upper(F.col(value_col))
     candidates = F.array(*[F.when(F.length(folded) >= k, F.substring(folded, 1, k)) for k in lengths])
     probes = records.withColumn("_prefix", F.explode(candidates)).where(F.col("_prefix").isNotNull())
-    m = _probe(pm, ["field_id", "code", "phenotype", "type", "qual_type", "qual_field"])
+    m = _probe(pm, ["field_id", "code", "phenotype", "type", "qual_type", "qual_field"], info)
     return probes.join(m, (probes["field_id"] == m["field_id"]) & (probes["_prefix"] == m["code"]), "inner") \
         .drop(m["field_id"]).drop("code", "_prefix")
 
@@ -99,8 +108,10 @@ def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field
 # ----------------------------------------------------------------------------------------------
 
 def extract_hospital(sources: Sources, matches: DataFrame,
-                     fields: Iterable[int] = HOSPITAL_DIAG_FIELDS + HOSPITAL_OPER_FIELDS) -> DataFrame:
+                     fields: Iterable[int] = HOSPITAL_DIAG_FIELDS + HOSPITAL_OPER_FIELDS,
+                     info: K.MatchInfo | None = None) -> DataFrame:
     fields = tuple(fields)
+    info = _info(matches, info)
     m = _restrict(matches, fields, "prefix")
     parts = []
     if set(fields) & set(HOSPITAL_DIAG_FIELDS):
@@ -119,7 +130,7 @@ def extract_hospital(sources: Sources, matches: DataFrame,
     for p in parts[1:]:
         recs = recs.unionByName(p)
     recs = recs.where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
-    hit = match_prefix(recs, m)
+    hit = match_prefix(recs, m, info=info)
     episodes = sources.hesin.select("eid", "ins_index", "admidate", "epistart")
     joined = hit.join(episodes, ["eid", "ins_index"], "inner")
     is_diag = F.col("field_id").isin(*HOSPITAL_DIAG_FIELDS)
@@ -150,8 +161,10 @@ def extract_hospital_procedures(sources: Sources, matches: DataFrame, level: int
 # Causes of death (joined to the death records on eid only -> two death rows double the output)
 # ----------------------------------------------------------------------------------------------
 
-def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] = DEATH_FIELDS) -> DataFrame:
+def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] = DEATH_FIELDS,
+                  info: K.MatchInfo | None = None) -> DataFrame:
     fields = tuple(fields)
+    info = _info(matches, info)
     m = _restrict(matches, fields, "prefix")
     recs = sources.death_cause.select(
         "eid",
@@ -159,7 +172,7 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
         .when(F.col("level") == 2, F.lit(C.F_DEATH_SECONDARY)).alias("field_id"),
         F.col("cause_icd10").alias("field_value"),
     ).where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
-    hit = match_prefix(recs, m)
+    hit = match_prefix(recs, m, info=info)
     # pre-aggregate the death records to (eid, date, multiplicity): the join becomes many-to-one and
     # the reference's row multiplication is restored by a local generate after it
     deaths = sources.death.groupBy("eid", "date_of_death").agg(F.count(F.lit(1)).cast("int").alias("_k"))
@@ -172,14 +185,16 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
 # GP diagnoses, incident and prevalent from one join
 # ----------------------------------------------------------------------------------------------
 
-def extract_primary_care(sources: Sources, matches: DataFrame, prevalent: bool | None = None) -> DataFrame:
+def extract_primary_care(sources: Sources, matches: DataFrame, prevalent: bool | None = None,
+                         info: K.MatchInfo | None = None) -> DataFrame:
+    info = _info(matches, info)
     m = _restrict(matches, (C.F_GP_CLINICAL,), "exact")
     if prevalent is not None:
         m = m.where(F.col("type") == ("prevalent" if prevalent else "any"))
     recs = sources.gp_clinical.select(
         "eid", F.lit(C.F_GP_CLINICAL).alias("field_id"), F.col("read_code").alias("field_value"), "eventdate"
     ).where(F.col("field_value").isNotNull())
-    hit = match_exact(recs, m)
+    hit = match_exact(recs, m, info=info)
     eventdate = F.when(F.col("type") == "prevalent", X.date_unknown()) \
         .otherwise(F.coalesce(F.col("eventdate"), X.date_unknown()))
     return _out(hit, eventdate)
@@ -212,7 +227,7 @@ def _same_slot_field() -> F.Column:
 
 
 def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] | None = None,
-                   undated: bool = False) -> DataFrame:
+                   undated: bool = False, info: K.MatchInfo | None = None) -> DataFrame:
     """X1-X9, X14 over the long table in one pass for all definitions.
 
     ``undated`` applies X7 instead (no date, no qualifier) to the exact-matched rows."""
@@ -222,17 +237,18 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
         m = m.where(F.col("field_id").isin(*tuple(fields)))
     # only the fields the definitions use are read (a static filter: partition pruning on a long table
     # stored by field, and union-branch pruning on the fixture views)
-    used = sorted({int(r.field_id) for r in m.select("field_id").distinct().collect()})  # catalogue-sized
+    info = _info(matches, info)
+    used = [f for f in info.fields if f not in non_survey and (fields is None or f in set(fields))]
     b = sources.baseline.where(F.col("field").isin(*used)) \
         .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
 
-    exact = match_exact(b, m).withColumn("match", F.lit("exact"))
+    exact = match_exact(b, m, info=info).withColumn("match", F.lit("exact"))
     if undated:
         return _out(exact, X.null_date())
     prefix = match_prefix(b.where(F.col("field_id") == C.F_CANCER_REGISTRY),
-                          m.where(F.col("field_id") == C.F_CANCER_REGISTRY)).withColumn("match", F.lit("prefix"))
+                          m.where(F.col("field_id") == C.F_CANCER_REGISTRY), info=info).withColumn("match", F.lit("prefix"))
     bio = _probe(m.where(F.col("match") == "biomarker"),
-                 ["field_id", "phenotype", "type", "qual_type", "qual_field"])
+                 ["field_id", "phenotype", "type", "qual_type", "qual_field"], info)
     biomarker = b.join(bio, "field_id", "inner").withColumn("match", F.lit("biomarker"))
     hits = exact.unionByName(prefix).unionByName(biomarker)
     hits = hits.withColumn("_rule", _rule(F.col("qual_type"))).where(F.col("_rule").isNotNull())
@@ -240,8 +256,7 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
 
     # same (visit, slot) qualifier: one left join for every qualifier field in use; the field list comes
     # from the (small) match table so that the scan of the long table is pruned to those fields
-    q_fields = sorted({int(r.qual_field) for r in m.select("qual_field").where(F.col("qual_field").isNotNull())
-                       .distinct().collect()} | set(C.SELF_REPORT_YEAR_FIELD.values())
+    q_fields = sorted(set(info.qual_fields) | set(C.SELF_REPORT_YEAR_FIELD.values())
                       | {C.F_CANCER_REG_DATE, C.F_ASSESS_DATE})
     qual = sources.baseline.where(F.col("field").isin(*q_fields)) \
         .select("eid", "i", "n", F.col("field").alias("_qf"), F.col("value").alias("_q"))
@@ -325,12 +340,12 @@ def extract_all(sources: Sources, matches: DataFrame, phenotypes: Iterable[str]
         m = m.where(F.col("phenotype").isin(*list(phenotypes)))
     if fields is not None:
         m = m.where(F.col("field_id").isin(*list(fields)))
-    m = m.cache()  # tiny; reused by every source branch
+    info = K.match_info(matches)  # of the unfiltered table: a superset is harmless
     return (
-        extract_hospital(sources, m)
-        .unionByName(extract_death(sources, m))
-        .unionByName(extract_primary_care(sources, m))
-        .unionByName(extract_survey(sources, m))
+        extract_hospital(sources, m, info=info)
+        .unionByName(extract_death(sources, m, info=info))
+        .unionByName(extract_primary_care(sources, m, info=info))
+        .unionByName(extract_survey(sources, m, info=info))
     )
 
 
