@@ -1,7 +1,7 @@
 """Loading and normalising the record tables.
 
-* L1/L2 - the wide survey file becomes the long ``baseline`` table with one ``unpivot`` and a column-name
-  parse done by ``regexp_extract`` on the executors;
+* L1/L2 - the wide survey file becomes the long ``baseline`` table: the header is parsed once and every
+  row generates its non-empty cells (``inline`` of literal-keyed structs);
 * L3 - tab-separated record files with all-string schemas, '' -> NULL, ``dd/mm/yyyy`` dates;
 * L4/L5 - GP clinical: unified Read code and birth-year date repair;
 * L6 - GP registrations: the same date repair on both dates;
@@ -68,15 +68,20 @@ def parse_field_name(name: str) -> tuple[int, int, int]:
 
 
 def wide_to_long(wide: DataFrame, id_col: str = "eid") -> DataFrame:
-    """L1: one row per non-empty cell of the wide file: (eid, field, i, n, value)."""
-    value_cols = [c for c in wide.columns if c != id_col]
-    long = wide.unpivot(
-        [F.col(id_col)], [F.col(f"`{c}`").cast("string").alias(c) for c in value_cols], "column", "value"
-    ).where(F.col("value").isNotNull() & (F.col("value") != ""))
-    fid, inst, slot = field_info(F.col("column"))
-    return long.select(
-        F.col(id_col).cast("bigint").alias("eid"), fid.alias("field"), inst.alias("i"), slot.alias("n"), "value"
-    )
+    """L1: one row per non-empty cell of the wide file: (eid, field, i, n, value).
+
+    The header is parsed once (L2 on the column list - metadata, one entry per column); each row then
+    generates its cells as (field, i, n, value) structs with the ids as literals, so no per-cell string
+    parsing happens on the executors."""
+    cells = []
+    for c in wide.columns:
+        if c == id_col:
+            continue
+        fid, inst, slot = parse_field_name(c)
+        cells.append(F.struct(F.lit(fid).alias("field"), F.lit(inst).alias("i"), F.lit(slot).alias("n"),
+                              F.col(f"`{c}`").cast("string").alias("value")))
+    return (wide.select(F.col(id_col).cast("bigint").alias("eid"), F.inline(F.array(*cells)))
+            .where(F.col("value").isNotNull() & (F.col("value") != "")))
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
