@@ -45,8 +45,10 @@ class EventStore:
     # -- L8: sink --------------------------------------------------------------------------------
     def append(self, events: DataFrame) -> None:
         """Append events; files are laid out per (field_id, phenotype)."""
+        # rebalance (not repartition): rows of one (field, phenotype) are grouped for few files per folder,
+        # while AQE splits a hot group over several tasks instead of sending it to one
         (events.select(*PHENOTYPE_COLUMNS)
-         .repartition(*PARTITION_COLUMNS)
+         .hint("rebalance", *PARTITION_COLUMNS)
          .write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(self.path))
 
     def read(self) -> DataFrame:
