@@ -16,12 +16,10 @@ anchored regular-expression alternation. The match table is bounded by the size
 
 from __future__ import annotations
 
-import json
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,63 +52,59 @@ class UnknownPhenotypeError(ValueError):
 # Load definitions
 # ----------------------------------------------------------------------------------------------
 
-def _text(v) -> str | None:
-    if v is None:
-        return None
-    if isinstance(v, (dict, list)):
-        return json.dumps(v, sort_keys=True, default=str)
-    return str(v)
-
-
-def _field_id(key) -> int | None:
-    try:
-        return int(key)
-    except (TypeError, ValueError):
-        return None
-
-
-def _parse_definition(path: str, text: str) -> dict:
-    import yaml
-
-    try:
-        loader = yaml.CSafeLoader
-    except AttributeError:  # pragma: no cover - pure-python build of PyYAML
-        loader = yaml.SafeLoader
-    doc = yaml.load(text, Loader=loader) or {}
-    meta = doc.get("metadata") or {}
-    row = {"file": path}
-    for k in C.METADATA_FIELDS + C.METADATA_OPTIONAL_FIELDS:
-        row[k] = _text(meta.get(k))
-    gender = meta.get("gender")
-    row["gender"] = [str(g) for g in gender] if isinstance(gender, list) else ([str(gender)] if gender else None)
-    onto = meta.get("ontologies")
-    row["ontologies"] = {str(k): _text(v) for k, v in onto.items()} if isinstance(onto, dict) else None
-    fields = []
-    for pos, (key, body) in enumerate((doc.get("definitions") or {}).items()):
-        body = body or {}
-        fmeta = body.get("metadata") or {}
-        qual = fmeta.get("time_qualifier") or {}
-        values = []
-        for v in body.get("values") or []:
-            values.append({k: _text(v.get(k)) for k in C.CODE_FIELDS})
-        fields.append({
-            "field": str(key),
-            "field_id": _field_id(key),
-            "pos": pos,
-            "desc": _text(fmeta.get("desc")),
-            "qual_type": _text(qual.get("type")),
-            "qual_field": _field_id(qual.get("field_id")),
-            "field_type": _text(fmeta.get("type")),
-            "values": values,
-        })
-    row["definitions"] = fields
-    return row
-
-
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = [_parse_definition(p, t) for p, t in zip(pdf["path"], pdf["value"])]
-        yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _catalogue_columns()])
+def _definition_parser(meta_keys: tuple[str, ...], code_keys: tuple[str, ...], columns: list[str]):
+    """The per-batch YAML parser for ``mapInPandas``. Everything it needs is inside the closure, so it is
+    shipped to the Python workers by value (they need no copy of this package)."""
+
+    def parse_batches(batches):
+        import json
+
+        import pandas as pd
+        import yaml
+
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
+        def text(v):
+            if v is None:
+                return None
+            if isinstance(v, (dict, list)):
+                return json.dumps(v, sort_keys=True, default=str)
+            return str(v)
+
+        def as_int(v):
+            try:
+                return int(v)
+            except (TypeError, ValueError):
+                return None
+
+        def parse(path, body):
+            doc = yaml.load(body, Loader=loader) or {}
+            meta = doc.get("metadata") or {}
+            row = {"file": path}
+            for k in meta_keys:
+                row[k] = text(meta.get(k))
+            gender = meta.get("gender")
+            row["gender"] = [str(g) for g in gender] if isinstance(gender, list) else ([str(gender)] if gender else None)
+            onto = meta.get("ontologies")
+            row["ontologies"] = {str(k): text(v) for k, v in onto.items()} if isinstance(onto, dict) else None
+            fields = []
+            for pos, (key, fbody) in enumerate((doc.get("definitions") or {}).items()):
+                fbody = fbody or {}
+                fmeta = fbody.get("metadata") or {}
+                qual = fmeta.get("time_qualifier") or {}
+                fields.append({
+                    "field": str(key), "field_id": as_int(key), "pos": pos, "desc": text(fmeta.get("desc")),
+                    "qual_type": text(qual.get("type")), "qual_field": as_int(qual.get("field_id")),
+                    "field_type": text(fmeta.get("type")),
+                    "values": [{k: text(v.get(k)) for k in code_keys} for v in fbody.get("values") or []],
+                })
+            row["definitions"] = fields
+            return row
+
+        for pdf in batches:
+            yield pd.DataFrame([parse(p, t) for p, t in zip(pdf["path"], pdf["value"])], columns=columns)
+
+    return parse_batches
 
 
 def _catalogue_columns() -> list[str]:
@@ -134,7 +128,9 @@ def load_catalogue(spark: SparkSession, path: str = DEFAULT_DEFINITIONS) -> Data
         spark.read.text(path, wholetext=True, pathGlobFilter="*.yaml")
         .select(F.col("_metadata.file_path").alias("path"), "value")
     )
-    return files.mapInPandas(_parse_batches, CATALOGUE_SCHEMA)
+    columns = [c.split(" ")[0] for c in _catalogue_columns()]
+    parser = _definition_parser(C.METADATA_FIELDS + C.METADATA_OPTIONAL_FIELDS, C.CODE_FIELDS, columns)
+    return files.mapInPandas(parser, CATALOGUE_SCHEMA)
 
 
 def catalogue_metadata(catalogue: DataFrame) -> DataFrame:
