@@ -113,9 +113,18 @@ def phenotype_first(first: DataFrame, phenotypes: Iterable[str] | str | None = N
     df = df.where(X.not_in_dates(F.col("eventdate"), C.SURVEY_PLACEHOLDER_DATES))
     if not first_only:
         return df
-    # min over a struct picks the earliest date (NULLs last), then the smallest field: one
-    # partial + final aggregation, no window sort of a whole participant's events
-    best = F.min(F.struct(F.col("eventdate").isNull().alias("k0"), F.col("eventdate").alias("d"),
-                          F.col("field_id").alias("f")))
-    return (df.groupBy("eid", "phenotype").agg(best.alias("b"))
-            .select("eid", "phenotype", F.col("b.d").alias("eventdate"), F.col("b.f").alias("field_id")))
+    # the earliest date (NULLs last), then the smallest field, as one 64-bit key: days since 1970 in
+    # the high half, field_id in the low half. ``min`` over a long runs as a hash aggregate with
+    # map-side combining (a struct or text minimum would force a sort-based aggregate)
+    days = F.coalesce(F.datediff(F.col("eventdate"), F.lit("1970-01-01").cast("date")), F.lit(_NO_DATE))
+    key = F.shiftleft(days.cast("long"), 32) + F.col("field_id").cast("long")
+    best = df.groupBy("eid", "phenotype").agg(F.min(key).alias("_k"))
+    hi = F.shiftright(F.col("_k"), 32)  # arithmetic shift: exact for dates before 1970 too
+    return best.select(
+        "eid", "phenotype",
+        F.when(hi != _NO_DATE, F.date_add(F.lit("1970-01-01").cast("date"), hi.cast("int"))).alias("eventdate"),
+        F.col("_k").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("field_id"),
+    )
+
+
+_NO_DATE = (1 << 31) - 1  # sorts after every real day number; field ids are non-negative 32-bit ints

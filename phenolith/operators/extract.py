@@ -330,7 +330,7 @@ def extract_gp_biomarker(sources: Sources, tag: str, serum_codes: Iterable[str],
 # ----------------------------------------------------------------------------------------------
 
 def extract_all(sources: Sources, matches: DataFrame, phenotypes: Iterable[str] | None = None,
-                fields: Iterable[int] | None = None) -> DataFrame:
+                fields: Iterable[int] | None = None, info: K.MatchInfo | None = None) -> DataFrame:
     """X17 (and X16 for one definition): all requested definitions and fields, one pass per source.
 
     Complex definitions, SNOMED and prescription fields are already absent from the match table;
@@ -340,7 +340,7 @@ def extract_all(sources: Sources, matches: DataFrame, phenotypes: Iterable[str]
         m = m.where(F.col("phenotype").isin(*list(phenotypes)))
     if fields is not None:
         m = m.where(F.col("field_id").isin(*list(fields)))
-    info = K.match_info(matches)  # of the unfiltered table: a superset is harmless
+    info = _info(matches, info)  # of the unfiltered table: a superset is harmless
     return (
         extract_hospital(sources, m, info=info)
         .unionByName(extract_death(sources, m, info=info))

@@ -28,6 +28,14 @@ class Study:
     catalogue: DataFrame
     codes: DataFrame
     matches: DataFrame
+    _info: K.MatchInfo | None = None
+
+    @property
+    def info(self) -> K.MatchInfo:
+        """Driver-side facts about the match table (one small aggregate, computed once)."""
+        if self._info is None:
+            self._info = K.match_info(self.matches)
+        return self._info
 
     @classmethod
     def load(cls, spark: SparkSession, sources: Sources, definitions: str = K.DEFAULT_DEFINITIONS) -> "Study":
@@ -43,7 +51,7 @@ class Study:
     # ---- derived tables --------------------------------------------------------------------------
     def events(self, phenotypes: Iterable[str] | None = None, fields: Iterable[int] | None = None) -> DataFrame:
         """The ``phenotypes`` table for the requested definitions (all by default)."""
-        return XT.extract_all(self.sources, self.matches, phenotypes, fields)
+        return XT.extract_all(self.sources, self.matches, phenotypes, fields, info=self.info)
 
     def cohort(self, **kw) -> DataFrame:
         """F4-F9."""
@@ -75,7 +83,7 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
     if fields is not None:
         m = m.where(F.col("field_id").isin(*list(fields)))
     if testing:
-        return XT.extract_all(study.sources, m)
+        return XT.extract_all(study.sources, m, info=study.info)
     if store is None:
         raise ValueError("a store is needed outside test mode")
     requested = [(r.phenotype, int(r.field_id)) for r in m.select("phenotype", "field_id").distinct().collect()]
@@ -84,5 +92,37 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
         store.delete_pairs([p for p in requested if p in present])
     else:
         m = m.join(F.broadcast(store.extracted()), ["phenotype", "field_id"], "left_anti")
-    store.append(XT.extract_all(study.sources, m))
+    store.append(XT.extract_all(study.sources, m, info=study.info))
     return None
+
+
+@dataclass
+class Tables:
+    """The derived tables of one run, each read back from where it was written."""
+
+    phenotypes: DataFrame
+    baseline_cohort: DataFrame
+    phenotype_first: DataFrame
+    cohort_phenotype_first: DataFrame
+
+
+def build_tables(study: Study, root: str, refresh: bool = False, compat: bool = False) -> Tables:
+    """The whole workflow, stage by stage, each stage written to ``root`` (shared storage, e.g. below the
+    session's checkpoint directory) and read back: events (incremental store, X17/X18), cohort (F4-F9),
+    first events (F1-F3, from the *stored* events), cohort x first events (F10). Writing each stage cuts
+    the lineage, so a lost executor costs a stage, not the whole chain."""
+    root = root.rstrip("/")
+    store = EventStore(study.spark, f"{root}/phenotypes")
+    extract_phenotypes(study, store=store, refresh=refresh, testing=False)
+    events = store.read()
+
+    spark = study.spark
+    study.cohort().write.mode("overwrite").parquet(f"{root}/baseline_cohort")
+    cohort = spark.read.parquet(f"{root}/baseline_cohort")
+
+    EV.first_events(events, cohort, compat=compat).write.mode("overwrite").parquet(f"{root}/phenotype_first")
+    first = spark.read.parquet(f"{root}/phenotype_first")
+
+    CO.cohort_phenotype_first(cohort, first).write.mode("overwrite").parquet(f"{root}/cohort_phenotype_first")
+    merged = spark.read.parquet(f"{root}/cohort_phenotype_first")
+    return Tables(events, cohort, first, merged)

@@ -134,3 +134,14 @@ def test_exact_ranks_property(spark, xs):
     ranks = list(range(len(xs)))
     got = R.exact_ranks(df, "x", ranks, n_ranges=4)
     assert [got[k] for k in ranks] == sorted(float(x) for x in xs)
+
+
+def test_build_tables_stage_by_stage(spark, study):
+    from phenolith.operators import cohort as CO
+    from phenolith.plans.pipeline import build_tables
+
+    t = build_tables(study, scratch_path(spark, "run"))
+    cohort = study.cohort()
+    want = CO.cohort_phenotype_first(cohort, study.first_events(cohort=cohort))
+    assert sorted(map(tuple, t.cohort_phenotype_first.collect())) == sorted(map(tuple, want.collect()))
+    assert t.phenotypes.count() == study.events().count()
