@@ -222,6 +222,22 @@ def definition_fields(catalogue: DataFrame) -> DataFrame:
     )
 
 
+def field_definition(catalogue: DataFrame, phenotype: str, field: str | int) -> DataFrame:
+    """One field's definition (metadata + values) if the definition lists it with values, else no row."""
+    return (catalogue.where(F.col("variable_name") == phenotype)
+            .select(F.explode("definitions").alias("d"))
+            .where((F.col("d.field") == str(field)) & (F.size("d.values") > 0) & (F.col("d.field") != "limits"))
+            .select("d.*"))
+
+
+def age_field_id(catalogue: DataFrame, phenotype: str, field: str | int) -> int:
+    """The age field qualifying a field; a field without an age qualifier is an error."""
+    rows = field_definition(catalogue, phenotype, field).select("qual_type", "qual_field").collect()  # 0/1 row
+    if not rows or rows[0].qual_type != "age" or rows[0].qual_field is None:
+        raise ValueError(f"{phenotype}: field {field} has no age qualifier")
+    return int(rows[0].qual_field)
+
+
 def code_table(catalogue: DataFrame, standard_only: bool = False) -> DataFrame:
     """One row per code entry; qualifier and position carried as columns.
 

@@ -120,3 +120,13 @@ def test_lint_lists_unextracted_entries(codes):
 def test_min_censor_date():
     assert min_censor_date() == d("2015-10-31")
     assert min_censor_date(compat=True) == d("2016-02-28")
+
+
+def test_field_definition_and_age_field(cat):
+    f = K.field_definition(cat, "renal_decline", 6150).collect()
+    assert len(f) == 1 and f[0].qual_type == "age" and f[0].pos == 6
+    assert K.field_definition(cat, "empty_gp", 42040).count() == 0  # declared but empty
+    assert K.field_definition(cat, "airway_disease", "limits").count() == 0
+    assert K.age_field_id(cat, "renal_decline", 6150) == 3894
+    with pytest.raises(ValueError):
+        K.age_field_id(cat, "sugar_disorder", 6150)  # baseline-qualified
