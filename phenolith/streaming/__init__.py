@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The system this engine re-implements is batch only: no streams, watermarks, windows or state. New
+record files are handled in batch by the incremental event store - extraction skips the
+(phenotype, field) pairs already present and refresh re-extracts chosen pairs (``plans.pipeline``).
+"""
