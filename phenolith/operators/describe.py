@@ -75,35 +75,52 @@ def table_one(recoded: DataFrame, columns: Iterable[str] = C.TABLE_ONE_COLUMNS,
               categorical: Iterable[str] = C.TABLE_ONE_CATEGORICAL, group: str = "sex") -> DataFrame:
     """R5: "Table 1" by group plus an ``Overall`` group, as a long table
     (grp, variable, level, n, missing, mean, sd, pct). Numeric columns: n, missing, mean, sample SD;
-    categorical columns (and the grouping column itself): count and % of non-missing per level."""
-    columns = [c for c in columns]
+    categorical columns (and the grouping column itself): count and % of non-missing per level.
+
+    Numeric statistics and all missing counts come from one wide ``rollup`` over the cohort (each person
+    read once; the rollup's grand total is the Overall group); only the categorical columns are
+    unpivoted to count their levels. The aggregated rows (a few per variable) are reshaped at the end."""
+    columns = list(columns)
     categorical = set(categorical) | {group}
     numeric = [c for c in columns if c not in categorical]
     cats = [c for c in columns if c in categorical]
-    grp = F.explode(F.array(F.coalesce(F.col(group).cast("string"), F.lit("missing")), F.lit("Overall"))).alias("grp")
-    base = recoded.select(grp, *[F.col(c).cast("string").alias(c) for c in columns])
-    stack = base.unpivot(["grp"], columns, "variable", "value")
-    counts = base.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).select(
-        "grp", F.lit("n").alias("variable"), F.lit(None).cast("string").alias("level"), "n",
-        F.lit(None).cast("bigint").alias("missing"), F.lit(None).cast("double").alias("mean"),
-        F.lit(None).cast("double").alias("sd"), F.lit(None).cast("double").alias("pct"))
-    x = X.try_cast(F.col("value"), "double")
-    num = (stack.where(F.col("variable").isin(*numeric)).groupBy("grp", "variable")
-           .agg(F.count(x).alias("n"), F.sum(F.when(x.isNull(), 1).otherwise(0)).cast("bigint").alias("missing"),
-                F.round(F.avg(x), ROUND_DIGITS).alias("mean"), F.round(F.stddev_samp(x), ROUND_DIGITS).alias("sd"))
-           .select("grp", "variable", F.lit(None).cast("string").alias("level"), "n", "missing", "mean", "sd",
-                   F.lit(None).cast("double").alias("pct")))
-    cat = stack.where(F.col("variable").isin(*cats))
-    missing = cat.groupBy("grp", "variable").agg(
-        F.sum(F.when(F.col("value").isNull(), 1).otherwise(0)).cast("bigint").alias("missing"))
-    levels = cat.where(F.col("value").isNotNull()).groupBy("grp", "variable", F.col("value").alias("level")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    base = recoded.select(F.coalesce(F.col(group).cast("string"), F.lit("missing")).alias("grp"),
+                          *[F.col(c).cast("string").alias(c) for c in columns])
+
+    def x(c):
+        return X.try_cast(F.col(c), "double")
+
+    wide = base.rollup("grp").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(x(c)).alias(f"{c}__n") for c in numeric],
+        *[F.sum(F.when(x(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"{c}__miss") for c in numeric],
+        *[F.avg(x(c)).alias(f"{c}__mean") for c in numeric],
+        *[F.stddev_samp(x(c)).alias(f"{c}__sd") for c in numeric],
+        *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"{c}__miss") for c in cats],
+    ).withColumn("grp", F.coalesce("grp", F.lit("Overall")))  # grp is never NULL before the rollup
+
+    no_d, no_s, no_b = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    rows = [F.struct(F.lit("n").alias("variable"), no_s.alias("level"), F.col("_n").alias("n"),
+                     no_b.alias("missing"), no_d.alias("mean"), no_d.alias("sd"))]
+    rows += [F.struct(F.lit(c).alias("variable"), no_s.alias("level"), F.col(f"{c}__n").alias("n"),
+                      F.col(f"{c}__miss").alias("missing"),
+                      F.round(F.col(f"{c}__mean"), ROUND_DIGITS).alias("mean"),
+                      F.round(F.col(f"{c}__sd"), ROUND_DIGITS).alias("sd")) for c in numeric]
+    summary = wide.select("grp", F.inline(F.array(*rows))).withColumn("pct", no_d)
+
+    missing = wide.select("grp", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"{c}__miss").alias("missing")) for c in cats])))
+    stack = base.select("grp", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).alias("level")) for c in cats]))).where(F.col("level").isNotNull())
+    levels = (stack.rollup("variable", "level", "grp").agg(F.count(F.lit(1)).alias("n"),
+                                                            F.grouping_id().alias("_g"))
+              .where(F.col("_g") <= 1)  # (variable, level, grp) and (variable, level) = Overall
+              .withColumn("grp", F.when(F.col("_g") == 1, F.lit("Overall")).otherwise(F.col("grp"))).drop("_g"))
     w = Window.partitionBy("grp", "variable")  # over the aggregated levels: a few rows per window
     levels = levels.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(w), ROUND_DIGITS))
     cat_rows = levels.join(missing, ["grp", "variable"], "left").select(
-        "grp", "variable", "level", "n", "missing", F.lit(None).cast("double").alias("mean"),
-        F.lit(None).cast("double").alias("sd"), "pct")
-    return counts.unionByName(num).unionByName(cat_rows)
+        "grp", "variable", "level", "n", "missing", no_d.alias("mean"), no_d.alias("sd"), "pct")
+    return summary.select("grp", "variable", "level", "n", "missing", "mean", "sd", "pct").unionByName(cat_rows)
 
 
 # ----------------------------------------------------------------------------------------------
