@@ -114,14 +114,16 @@ def extract_hospital(sources: Sources, matches: DataFrame,
     info = _info(matches, info)
     m = _restrict(matches, fields, "prefix")
     parts = []
-    if set(fields) & set(HOSPITAL_DIAG_FIELDS):
-        parts.append(sources.hesin_diag.select(
+    diag_levels = [lv for lv, f in enumerate(HOSPITAL_DIAG_FIELDS, start=1) if f in fields]
+    oper_levels = [lv for lv, f in enumerate(HOSPITAL_OPER_FIELDS, start=1) if f in fields]
+    if diag_levels:
+        parts.append(sources.hesin_diag.where(F.col("level").isin(*diag_levels)).select(
             "eid", "ins_index",
             F.when(F.col("level") == 1, F.lit(C.F_HOSP_DIAG_MAIN))
             .when(F.col("level") == 2, F.lit(C.F_HOSP_DIAG_SEC)).alias("field_id"),
             F.col("diag_icd10").alias("field_value"), X.null_date().alias("opdate")))
-    if set(fields) & set(HOSPITAL_OPER_FIELDS):
-        parts.append(sources.hesin_oper.select(
+    if oper_levels:  # plain level filters reach the Parquet reader; the derived field_id would not
+        parts.append(sources.hesin_oper.where(F.col("level").isin(*oper_levels)).select(
             "eid", "ins_index",
             F.when(F.col("level") == 1, F.lit(C.F_HOSP_OPER_MAIN))
             .when(F.col("level") == 2, F.lit(C.F_HOSP_OPER_SEC)).alias("field_id"),
@@ -166,7 +168,8 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
     fields = tuple(fields)
     info = _info(matches, info)
     m = _restrict(matches, fields, "prefix")
-    recs = sources.death_cause.select(
+    levels = [lv for lv, f in enumerate(DEATH_FIELDS, start=1) if f in fields]
+    recs = sources.death_cause.where(F.col("level").isin(*levels)).select(
         "eid",
         F.when(F.col("level") == 1, F.lit(C.F_DEATH_PRIMARY))
         .when(F.col("level") == 2, F.lit(C.F_DEATH_SECONDARY)).alias("field_id"),
