@@ -39,9 +39,12 @@ def clean_hospital_dates(df: DataFrame, date_cols: Iterable[str] = ("admidate",
     return df, absent
 
 
-def baseline_date(cohort: DataFrame, eids: DataFrame | None = None) -> DataFrame:
-    """D3: assessment date per person."""
-    return _people(cohort, eids).select("eid", X.iso_date(F.col("f53")).alias("date_baseline_assessment"))
+def baseline_date(cohort: DataFrame, eids: DataFrame | None = None, check: bool = False) -> DataFrame:
+    """D3: assessment date per person; ``check`` raises when a person occurs twice."""
+    df = _people(cohort, eids).select("eid", X.iso_date(F.col("f53")).alias("date_baseline_assessment"))
+    if check:
+        assert_unique_people(df)
+    return df
 
 
 def assert_unique_people(df: DataFrame) -> None:
@@ -58,15 +61,21 @@ def time_since_baseline(df: DataFrame, cohort: DataFrame, id_col: str = "eid", d
         "time_since_baseline", F.datediff(F.col(date_col), F.col("date_baseline_assessment")))
 
 
-def date_of_death(cohort: DataFrame, eids: DataFrame | None = None, drop_alive: bool = True) -> DataFrame:
+def date_of_death(cohort: DataFrame, eids: DataFrame | None = None, drop_alive: bool = True,
+                  check: bool = False) -> DataFrame:
     """Death date per person, optionally only the dead."""
     df = _people(cohort, eids).select("eid", F.col("f40000").alias("dod"))
+    if check:
+        assert_unique_people(df)
     return df.where(F.col("dod").isNotNull()) if drop_alive else df
 
 
-def date_of_birth(cohort: DataFrame, eids: DataFrame | None = None) -> DataFrame:
+def date_of_birth(cohort: DataFrame, eids: DataFrame | None = None, check: bool = False) -> DataFrame:
     """Birth date per person."""
-    return _people(cohort, eids).select("eid", "dob")
+    df = _people(cohort, eids).select("eid", "dob")
+    if check:
+        assert_unique_people(df)
+    return df
 
 
 def min_censor_date(compat: bool = False) -> dt.date:

@@ -211,3 +211,13 @@ def test_phenotype_first_removes_sentinels_then_picks_earliest(spark):
         "eid bigint, phenotype string, field_id int, eventdate date")
     got = rows(EV.phenotype_first(first), "eid", "field_id", "eventdate")
     assert got == bag([(1, 20002, d("2005-01-01")), (3, 41202, None)])
+
+
+def test_unique_people_check(spark):
+    from phenolith.operators import dates as D
+
+    cohort = spark.createDataFrame([(1, "2010-01-01", None), (1, "2011-01-01", None)],
+                                   "eid bigint, f53 string, dob date")
+    with pytest.raises(ValueError):
+        D.baseline_date(cohort, check=True)
+    assert D.baseline_date(cohort.limit(1), check=True).count() == 1
