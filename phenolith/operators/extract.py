@@ -234,14 +234,15 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
     """X1-X9, X14 over the long table in one pass for all definitions.
 
     ``undated`` applies X7 instead (no date, no qualifier) to the exact-matched rows."""
+    fields = None if fields is None else tuple(fields)
     non_survey = set(HOSPITAL_DIAG_FIELDS + HOSPITAL_OPER_FIELDS + DEATH_FIELDS + (C.F_GP_CLINICAL,))
     m = matches.where(~F.col("field_id").isin(*non_survey))
     if fields is not None:
-        m = m.where(F.col("field_id").isin(*tuple(fields)))
+        m = m.where(F.col("field_id").isin(*fields))
     # only the fields the definitions use are read (a static filter: partition pruning on a long table
     # stored by field, and union-branch pruning on the fixture views)
     info = _info(matches, info)
-    used = [f for f in info.fields if f not in non_survey and (fields is None or f in set(fields))]
+    used = [f for f in info.fields if f not in non_survey and (fields is None or f in fields)]
     b = sources.baseline.where(F.col("field").isin(*used)) \
         .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
 
