@@ -48,8 +48,10 @@ def uk_date(c: Column) -> Column:
 
 
 def year_start(year: Column) -> Column:
-    """January 1st of a (fractional) year, rounded half to even like the reference's ROUND on doubles."""
-    return F.make_date(F.rint(year).cast("int"), F.lit(1), F.lit(1))
+    """January 1st of a (fractional) year, rounded half to even like the reference's ROUND on doubles;
+    NULL outside years 1-9999 (checked before the casts, which would fail under ANSI mode)."""
+    y = F.rint(year)
+    return F.when(y.between(1, 9999), F.make_date(y.cast("int"), F.lit(1), F.lit(1)))
 
 
 def dated_by_year(year_text: Column) -> Column:

@@ -173,7 +173,7 @@ def repair_birth_year_dates(df: DataFrame, date_cols: list[str], yob: DataFrame)
         if name in date_cols:
             c = F.col(name)
             fixed_cols.append(
-                F.when(F.year(c).isin(*C.GP_BIRTH_YEAR_CODES) & y.isNotNull(), F.make_date(y, F.lit(7), F.lit(1)))
+                F.when(F.year(c).isin(*C.GP_BIRTH_YEAR_CODES) & y.between(1, 9999), F.make_date(y, F.lit(7), F.lit(1)))
                 .otherwise(c).alias(name))
         else:
             fixed_cols.append(F.col(name))

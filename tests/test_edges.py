@@ -221,3 +221,10 @@ def test_unique_people_check(spark):
     with pytest.raises(ValueError):
         D.baseline_date(cohort, check=True)
     assert D.baseline_date(cohort.limit(1), check=True).count() == 1
+
+
+def test_extreme_years_give_null_not_errors(spark, defs):
+    base = [(1, 20002, 0, k, "1105") for k in range(3)]
+    base += [(1, 20008, 0, 0, "1e9"), (1, 20008, 0, 1, "99999"), (1, 20008, 0, 2, "1e300")]
+    ev = events_of(spark, defs, baseline=base)
+    assert [r.eventdate for r in ev.collect()] == [None, None, None]
