@@ -28,7 +28,7 @@ from phenolith import config as C
 from phenolith.functions import exprs as X
 from phenolith.operators import codes as K
 from phenolith.schemas import PHENOTYPE_COLUMNS
-from phenolith.sources.records import Sources, fields_at
+from phenolith.sources.records import Sources
 
 HOSPITAL_DIAG_FIELDS = (C.F_HOSP_DIAG_MAIN, C.F_HOSP_DIAG_SEC)
 HOSPITAL_OPER_FIELDS = (C.F_HOSP_OPER_MAIN, C.F_HOSP_OPER_SEC)
@@ -266,20 +266,23 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
         .select("eid", "i", "n", F.col("field").alias("_qf"), F.col("value").alias("_q"))
     same_slot = hits.join(qual, ["eid", "i", "n", "_qf"], "left")
 
-    # visit-0 qualifiers (year of birth, assessment date) only for the rows that need them
-    per_person_rules = ("age", "baseline")
-    needs = same_slot.where(F.col("_rule").isin(*per_person_rules))
-    rest = same_slot.where(~F.col("_rule").isin(*per_person_rules)) \
-        .withColumns({"_yob": F.lit(None).cast("string"), "_d53": F.lit(None).cast("string")})
-    person = fields_at(sources.baseline, {C.F_YOB: "_yob", C.F_ASSESS_DATE: "_d53"})
-    needs = needs.join(person, "eid", "left")
-    rows = rest.unionByName(needs)
-
+    # visit-0 qualifiers only for the rows that need them: an age rule needs the year of birth, a baseline
+    # rule the assessment date - one value each, so one equi-join on (eid, that field) serves both
+    # (a left join, as the reference's; no per-person aggregation)
     rule = F.col("_rule")
+    per_person = {"age": C.F_YOB, "baseline": C.F_ASSESS_DATE}
+    pf = F.when(rule == "age", F.lit(C.F_YOB)).when(rule == "baseline", F.lit(C.F_ASSESS_DATE))
+    needs = same_slot.where(rule.isin(*per_person)).withColumn("_pf", pf)
+    rest = same_slot.where(~rule.isin(*per_person)).withColumns(
+        {"_pf": F.lit(None).cast("int"), "_pv": F.lit(None).cast("string")})
+    person = sources.baseline.where(F.col("field").isin(*per_person.values()) & (F.col("i") == 0) & (F.col("n") == 0)) \
+        .select("eid", F.col("field").alias("_pf"), F.col("value").alias("_pv"))
+    rows = rest.unionByName(needs.join(person, ["eid", "_pf"], "left"))
+
     eventdate = (
         F.when(rule == "year", X.dated_by_year(F.col("_q")))
-        .when(rule == "age", X.dated_by_age(F.col("_q"), F.col("_yob")))
-        .when(rule == "baseline", X.iso_date(F.col("_d53")))
+        .when(rule == "age", X.dated_by_age(F.col("_q"), F.col("_pv")))
+        .when(rule == "baseline", X.iso_date(F.col("_pv")))
         .when(rule.isin("registry", "biomarker"), X.iso_date(F.col("_q")))
     )
     return _out(rows, eventdate)
