@@ -349,7 +349,7 @@ def match_table(codes: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class MatchInfo:
     """Facts about a match table the plans need on the driver, gathered by one aggregate (all bounded by
     the definition corpus: a row count, a few code lengths, the fields in use)."""
@@ -358,6 +358,11 @@ class MatchInfo:
     prefix_lengths: tuple[int, ...]
     fields: tuple[int, ...]
     qual_fields: tuple[int, ...]
+    fields_by_kind: dict[str, tuple[int, ...]] | None = None
+
+    def kind_fields(self, kind: str) -> tuple[int, ...]:
+        """Fields with codes of one match kind (exact / prefix / biomarker)."""
+        return (self.fields_by_kind or {}).get(kind, ())
 
     @property
     def broadcastable(self) -> bool:
@@ -370,9 +375,12 @@ def match_info(matches: DataFrame) -> MatchInfo:
         F.sort_array(F.collect_set(F.when(F.col("match") == "prefix", F.col("code_len")))).alias("lens"),
         F.sort_array(F.collect_set("field_id")).alias("fields"),
         F.sort_array(F.collect_set("qual_field")).alias("quals"),
+        *[F.sort_array(F.collect_set(F.when(F.col("match") == k, F.col("field_id")))).alias(k)
+          for k in ("exact", "prefix", "biomarker")],
     ).first()
     return MatchInfo(int(r.n), tuple(int(x) for x in r.lens), tuple(int(x) for x in r.fields),
-                     tuple(int(x) for x in r.quals))
+                     tuple(int(x) for x in r.quals),
+                     {k: tuple(int(x) for x in r[k]) for k in ("exact", "prefix", "biomarker")})
 
 
 def prefix_lengths(matches: DataFrame) -> list[int]:

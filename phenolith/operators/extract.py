@@ -242,18 +242,22 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
     # only the fields the definitions use are read (a static filter: partition pruning on a long table
     # stored by field, and union-branch pruning on the fixture views)
     info = _info(matches, info)
-    used = [f for f in info.fields if f not in non_survey and (fields is None or f in fields)]
-    b = sources.baseline.where(F.col("field").isin(*used)) \
-        .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
+    # each branch reads only the fields with codes of its kind (a field folder is read by one branch)
+    def used(kind):
+        return [f for f in info.kind_fields(kind) if f not in non_survey and (fields is None or f in fields)]
 
-    exact = match_exact(b, m, info=info).withColumn("match", F.lit("exact"))
+    def long_rows(kind):
+        return sources.baseline.where(F.col("field").isin(*used(kind))) \
+            .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
+
+    exact = match_exact(long_rows("exact"), m, info=info).withColumn("match", F.lit("exact"))
     if undated:
         return _out(exact, X.null_date())
-    prefix = match_prefix(b.where(F.col("field_id") == C.F_CANCER_REGISTRY),
-                          m.where(F.col("field_id") == C.F_CANCER_REGISTRY), info=info).withColumn("match", F.lit("prefix"))
+    prefix = match_prefix(long_rows("prefix"), m.where(F.col("field_id") == C.F_CANCER_REGISTRY),
+                          info=info).withColumn("match", F.lit("prefix"))
     bio = _probe(m.where(F.col("match") == "biomarker"),
                  ["field_id", "phenotype", "type", "qual_type", "qual_field"], info)
-    biomarker = b.join(bio, "field_id", "inner").withColumn("match", F.lit("biomarker"))
+    biomarker = long_rows("biomarker").join(bio, "field_id", "inner").withColumn("match", F.lit("biomarker"))
     hits = exact.unionByName(prefix).unionByName(biomarker)
     hits = hits.withColumn("_rule", _rule(F.col("qual_type"))).where(F.col("_rule").isNotNull())
     hits = hits.withColumn("_qf", _same_slot_field())
