@@ -383,12 +383,6 @@ def match_info(matches: DataFrame) -> MatchInfo:
                      {k: tuple(int(x) for x in r[k]) for k in ("exact", "prefix", "biomarker")})
 
 
-def prefix_lengths(matches: DataFrame) -> list[int]:
-    """Distinct prefix lengths in the match table (a handful; bounded by the code width)."""
-    rows = matches.where(F.col("match") == "prefix").select("code_len").distinct().collect()
-    return sorted(int(r.code_len) for r in rows)
-
-
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, n_rows: int | None = None) -> DataFrame:
     """Broadcast a catalogue-derived table only after checking its size; otherwise leave the join to AQE.
     ``n_rows`` is a known upper bound of the row count (e.g. of the unfiltered match table)."""
