@@ -228,3 +228,38 @@ def test_extreme_years_give_null_not_errors(spark, defs):
     base += [(1, 20008, 0, 0, "1e9"), (1, 20008, 0, 1, "99999"), (1, 20008, 0, 2, "1e300")]
     ev = events_of(spark, defs, baseline=base)
     assert [r.eventdate for r in ev.collect()] == [None, None, None]
+
+
+def test_hot_participant_with_forced_skew_split(spark, defs):
+    """One person holds a third of the rows; AQE is made to treat partitions as skewed so the split
+    path runs. Results must equal a direct count."""
+    hot, others = 1, list(range(2, 202))
+    hesin = [(e, k, d("2010-01-01"), d("2010-01-02"), None) for e in [hot] * 100 for k in [0]] + \
+            [(e, 0, d("2011-01-01"), None, None) for e in others]
+    hesin = list({(h[0], h[1]): h for h in hesin}.values())
+    diag = [(hot, 0, a, 1, "N18" + str(a % 10)) for a in range(100)] + [(e, 0, 1, 1, "N189") for e in others]
+    gp = [(hot, 1, d("2012-01-01"), "44F..", None, None, None, None)] * 100 + \
+         [(e, 1, d("2013-01-01"), "44F..", None, None, None, None) for e in others]
+    base = [(e, 34, 0, 0, "1950") for e in [hot] + others] + [(e, 52, 0, 0, "1") for e in [hot] + others]
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        src = make_sources(spark, baseline=base, hesin=hesin, diag=diag, gp=gp)
+        study = Study.load(spark, src, defs)
+        ev = study.events()
+        counts = Counter((r.eid == hot, r.field_id) for r in ev.collect())
+        assert counts == Counter({(True, 41202): 100, (False, 41202): 200, (True, 42040): 100, (False, 42040): 200})
+        first = rows(study.first_events(), "eid", "field_id", "eventdate")
+        assert first[(hot, 41202, d("2010-01-02"))] == 1 and first[(hot, 42040, d("2012-01-01"))] == 1
+        assert sum(first.values()) == 2 * 201
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
