@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenolith.llm import packing, token_files
+from phenolith.llm import mixing, packing, token_files
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,8 +21,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_token_files(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op4_token_files)
+    f.__name__: f for f in (op1_best_fit_packing, op4_token_files, op10_entropy_balancing)
 }
 
 ORACLES: dict[str, str] = {}
