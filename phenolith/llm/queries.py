@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenolith.llm import mixing, packing, token_files
+from phenolith.llm import mixing, packing, quality, token_files
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_token_files(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -26,7 +30,7 @@ def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op4_token_files, op10_entropy_balancing)
+    f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_token_files, op10_entropy_balancing)
 }
 
 ORACLES: dict[str, str] = {}
