@@ -70,7 +70,7 @@ def shingles(raw: bytes, k: int) -> np.ndarray:
         return words
     k = min(k, len(words))
     n = len(words) - k + 1
-    total = np.full(n, np.uint64(k) * _ODD, np.uint64)
+    total = np.full(n, k, np.uint64)
     for i in range(k):
         total += mix64(words[i : i + n] * _ORDER[i] + np.uint64(i))
     total = np.sort(mix64(total))
