@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenolith.llm import mixing, near_dup, packing, quality, repeats, token_files
+from phenolith.llm import chat, fingerprints, mixing, near_dup, packing, quality, repeats, token_files
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -25,6 +25,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_token_files(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_digest(read_table(spark, sf_dir, "conversations"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicate_digest(read_table(spark, sf_dir, "documents"))
 
@@ -33,12 +37,17 @@ def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_digest(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_token_files, op7_near_duplicates, op8_repeated_strings, op10_entropy_balancing)
+    f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_token_files, op6_preference_pairs, op7_near_duplicates,
+                            op8_repeated_strings, op9_fingerprints, op10_entropy_balancing)
 }
 
 ORACLES: dict[str, str] = {}

@@ -45,3 +45,23 @@ def band_hashes(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     for k in range(rows):
         value = mix64(value * np.uint64(0x9E3779B97F4A7C15) + own[:, k])
     return value
+
+
+def one_permutation(values: np.ndarray, bins: int, seed: int = 2) -> np.ndarray:
+    """One-permutation MinHash: each element is hashed once, the high bits choose its bin and a bin keeps its
+    smallest hash. An empty bin takes the value of a bin drawn by hashing (bin, attempt) until it meets one
+    that was not empty (optimal densification). ``values`` must not be empty."""
+    h = mix64(values ^ np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))
+    out = np.full(bins, _EMPTY)
+    np.minimum.at(out, (((h >> np.uint64(40)) * np.uint64(bins)) >> np.uint64(24)).astype(np.int64), h & _LOW)
+    filled = out != _EMPTY
+    empty = np.flatnonzero(~filled)
+    attempt = 0
+    while len(empty):
+        drawn = mix64((empty.astype(np.uint64) << np.uint64(20)) + np.uint64(attempt + (seed << 52)))
+        source = ((drawn >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
+        met = filled[source]
+        out[empty[met]] = out[source[met]]
+        empty = empty[~met]
+        attempt += 1
+    return out
