@@ -190,6 +190,16 @@ def _settle(cells: DataFrame, limit: int, most_rounds: int = 12) -> DataFrame:
     return cells
 
 
+def repeated(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as many times as it has copies. Equal ids share one number of
+    copies, the largest of their rows', and rows without an id are taken once."""
+    copies = mix(docs, doc_id=doc_id, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies"))
+    taken = docs.join(copies.withColumnRenamed("doc_id", "__id"), F.col(f"`{doc_id}`") == F.col("__id"), "left")
+    times = F.coalesce(F.col("__copies"), F.lit(1)).cast("int")
+    return taken.where(times > 0).withColumn("__nth", F.explode(F.array_repeat(F.lit(0), times))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+
+
 def mixed_digest(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
                             "rate", "copies")

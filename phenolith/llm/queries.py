@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenolith.llm import chat, fingerprints, mixing, near_dup, packing, quality, repeats, token_files
+from phenolith.llm import chat, fingerprints, hnsw, html_text, mixing, near_dup, packing, quality, repeats, token_files
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -25,6 +25,15 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_token_files(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20, vector="embedding")
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn(pages))
+
+
 def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.preference_digest(read_table(spark, sf_dir, "conversations"))
 
@@ -46,8 +55,9 @@ def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_token_files, op6_preference_pairs, op7_near_duplicates,
-                            op8_repeated_strings, op9_fingerprints, op10_entropy_balancing)
+    f.__name__: f for f in (
+        op1_best_fit_packing, op2_quality_classifier, op3_nearest_neighbours, op4_token_files, op5_main_text,
+        op6_preference_pairs, op7_near_duplicates, op8_repeated_strings, op9_fingerprints, op10_entropy_balancing)
 }
 
 ORACLES: dict[str, str] = {}
