@@ -8,7 +8,8 @@ in the same one. Strings are judged on the input; matches never cross documents.
    of a text are found by one sliding minimum, about one in 80 bytes. An anchor's context is what strings with
    this anchor can cover, ``min_bytes - GRAM`` bytes to either side.
 2. Only anchors that occur twice matter: a count per anchor, combined before the shuffle, and one join.
-3. Contexts that are equal as a whole repeat throughout. Of the others, and one of each of the equal ones, the
+3. Contexts that are equal as a whole repeat throughout; those of one text are found with its anchors, and only
+   one of them goes on. Of the others, and one of each of the equal ones, the
    bytes are read, and the contexts are dealt by anchor into shards of bounded size.
 4. In a shard all contexts are aligned at their anchors and built column by column from the last one: each round
    inserts one symbol of every context, sorts the contexts by (symbol, order of the round before) and updates
@@ -115,8 +116,27 @@ def anchors(raw: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
     return tuple(c[first] for c in found)
 
 
+def _within(raw: np.ndarray, uid: int, min_bytes: int) -> list[np.ndarray]:
+    """Columns of one text's rows: each context once, with its number of occurrences in the text (``times``).
+    What repeats within the text is known here: its stretches are rows with ``times`` 0, from ``position`` to
+    ``reach``."""
+    anchor, context, position, left, right = anchors(raw, min_bytes)
+    order = np.lexsort((context, anchor))
+    new = np.concatenate([[True], (np.diff(anchor[order]) != 0) | (np.diff(context[order]) != 0)])
+    times = np.diff(np.append(np.flatnonzero(new), len(order)))
+    one = order[new]
+    again = order[np.repeat(times > 1, times)]
+    start, stop = position[again] - left[again], position[again] + min(GRAM, min_bytes) + right[again]
+    long = stop - start >= min_bytes
+    gone = np.array(united(zip(start[long].tolist(), stop[long].tolist())), np.int64).reshape(-1, 2)
+    none = np.zeros(len(gone), np.int64)
+    return [np.concatenate(c) for c in (
+        (anchor[one].astype(np.int64), none), (context[one].astype(np.int64), none), (np.full(len(one), uid), none + uid),
+        (position[one], gone[:, 0]), (left[one] << 16 | right[one], gone[:, 1]), (times, none))]
+
+
 def _anchor_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
-    names = ["anchor", "context", "uid", "position", "reach"]
+    names = ["anchor", "context", "uid", "position", "reach", "times"]
 
     def run(batches):
         for batch in batches:
@@ -125,9 +145,8 @@ def _anchor_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
                 raw = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
                 if len(raw) < min_bytes:
                     continue
-                anchor, context, position, left, right = anchors(raw, min_bytes)
-                parts.append((anchor.astype(np.int64), context.astype(np.int64), np.full(len(anchor), uid), position, left << 16 | right))
-                size += len(anchor)
+                parts.append(_within(raw, uid, min_bytes))
+                size += len(parts[-1][0])
                 if size > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
                     parts, size = [], 0
@@ -221,16 +240,18 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 200, most_contexts: int = 5
     """uid, spans: for each document that loses bytes the stretches [start, stop) it loses, which may overlap.
     ``docs``: uid, text."""
     gram = min(GRAM, min_bytes)
-    rows = materialise(_anchor_rows(docs, min_bytes), "anchors")
-    shared = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    found = materialise(_anchor_rows(docs, min_bytes), "anchors")
+    rows = found.where("times > 0")
+    own = found.where("times = 0").select("uid", F.col("position").alias("start"), F.col("reach").alias("stop"))
+    shared = rows.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     rows = materialise(rows.join(shared, "anchor"), "shared-anchors")
     # one of each context, by the smallest place; both packed into one number would not hold all ids
     kinds = rows.groupBy("anchor", "context").agg(
-        F.count("*").alias("times"), F.min(F.struct("uid", "position", "reach")).alias("one"))
+        F.sum("times").alias("times"), F.min(F.struct("uid", "position", "reach")).alias("one"))
     kinds = materialise(kinds.select("anchor", "context", "times", "one.*"), "contexts")
     many = kinds.where("times > 1").select("anchor", "context")
     left, right = F.shiftright("reach", 16), F.col("reach").bitwiseAND(0xFFFF)
-    whole = rows.join(many, ["anchor", "context"]).select(
+    whole = rows.where("times = 1").join(many, ["anchor", "context"]).select(
         "uid", (F.col("position") - left).alias("start"), (F.col("position") + gram + right).alias("stop")
     ).where(F.col("stop") - F.col("start") >= min_bytes)
     differ = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -261,7 +282,7 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 200, most_contexts: int = 5
     spans_schema = "uid long, start long, stop long"
     dealt = ordinary.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     partial = dealt.groupBy("shard").applyInPandas(lambda pdf: _shard(pdf, min_bytes), spans_schema)
-    spans = whole.unionByName(partial)
+    spans = own.unionByName(whole).unionByName(partial)
     if not (often := contexts.where(F.col("kinds") > most_contexts)).isEmpty():
         spans = spans.unionByName(_hot(often, min_bytes))
     return materialise(spans, "spans").groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
