@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith.llm import mixing, near_dup, packing, quality, repeats
-from phenolith.llm.common import materialise
+from phenolith.llm.common import fresh, materialise
 
 TOKENIZER = "word_bpe_49k.json"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,7 +22,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives label 1 (score of 0.3 or more)."""
     labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = quality.train(labelled, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, into="__score").where("__score >= 0.3").drop("__score")
+    score = fresh(docs, "__score")
+    return quality.score(docs, model, into=score).where(F.col(score) >= 0.3).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

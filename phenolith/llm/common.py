@@ -63,6 +63,14 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(lengths: np.ndarray, limit: int = SLICE_CHARS):
     """Row ranges (lo, hi) whose lengths sum to about ``limit`` at most; a longer row stands alone."""
     if not len(lengths):

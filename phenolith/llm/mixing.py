@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from phenolith.llm.common import WORD_PATTERN, materialise
+from phenolith.llm.common import WORD_PATTERN, fresh, materialise
 
 UNIT = 1 << 20
 BUCKET = 4096
@@ -193,10 +193,11 @@ def _settle(cells: DataFrame, limit: int, most_rounds: int = 12) -> DataFrame:
 def repeated(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as many times as it has copies. Equal ids share one number of
     copies, the largest of their rows', and rows without an id are taken once."""
-    copies = mix(docs, doc_id=doc_id, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    taken = docs.join(copies.withColumnRenamed("doc_id", "__id"), F.col(f"`{doc_id}`") == F.col("__id"), "left")
-    times = F.coalesce(F.col("__copies"), F.lit(1)).cast("int")
-    return taken.where(times > 0).withColumn("__nth", F.explode(F.array_repeat(F.lit(0), times))).select(
+    key, times, nth = (fresh(docs, c) for c in ("__id", "__copies", "__nth"))
+    copies = mix(docs, doc_id=doc_id, **options).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times))
+    taken = docs.join(copies, F.col(f"`{doc_id}`") == F.col(key), "left").withColumn(
+        times, F.coalesce(F.col(times), F.lit(1)).cast("int"))
+    return taken.where(F.col(times) > 0).withColumn(nth, F.explode(F.array_repeat(F.lit(0), F.col(times)))).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 

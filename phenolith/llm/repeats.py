@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenolith.llm.common import materialise, mix64, pick
+from phenolith.llm.common import fresh, materialise, mix64, pick
 
 GRAM = 40
 #: Windows handled at once; a longer text is taken in pieces that overlap by a window.
@@ -214,8 +214,9 @@ def _shard(pdf: pd.DataFrame, min_bytes: int) -> pd.DataFrame:
 
 
 def _hot(contexts: DataFrame, min_bytes: int) -> DataFrame:
-    """The stretches in contexts of very frequent anchors, by counting the hashes of their strings."""
-    schema = "anchor long, a long, b long, uid long, start long, times long"
+    """The stretches in contexts of very frequent anchors, by counting the hashes of their strings by their place
+    at the anchor (as in a shard: two contexts with one string at one place are two occurrences of it)."""
+    schema = "anchor long, place long, a long, b long, uid long, start long, times long"
 
     def strings(batches):
         for batch in batches:
@@ -225,15 +226,16 @@ def _hot(contexts: DataFrame, min_bytes: int) -> DataFrame:
                     continue
                 a = _Hashes(raw).grams(min_bytes)
                 b = _Hashes(raw ^ np.uint8(0x55)).grams(min_bytes)
-                start = row["position"] - (row["reach"] >> 16) + np.arange(len(a))
+                place = np.arange(len(a)) - (row["reach"] >> 16)
+                start = row["position"] + place
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(a), row["anchor"])), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)),
+                    [pa.array(np.full(len(a), row["anchor"])), pa.array(place), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)),
                      pa.array(np.full(len(a), row["uid"])), pa.array(start), pa.array(np.full(len(a), row["times"]))],
-                    names=["anchor", "a", "b", "uid", "start", "times"])
+                    names=["anchor", "place", "a", "b", "uid", "start", "times"])
 
     rows = contexts.mapInArrow(strings, schema)
-    repeated = rows.groupBy("anchor", "a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return rows.where("times = 1").join(repeated, ["anchor", "a", "b"]).select("uid", "start", (F.col("start") + min_bytes).alias("stop"))
+    repeated = rows.groupBy("anchor", "place", "a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return rows.where("times = 1").join(repeated, ["anchor", "place", "a", "b"]).select("uid", "start", (F.col("start") + min_bytes).alias("stop"))
 
 
 def repeated_spans(docs: DataFrame, min_bytes: int = 200, most_contexts: int = 50_000) -> DataFrame:
@@ -300,12 +302,14 @@ def united(spans) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame, doc_id: str, text: str, min_bytes: int) -> DataFrame:
-    """All columns of ``docs`` and ``__spans`` (null: loses nothing)."""
+    """All columns of ``docs`` and, as the last one, the document's spans (null: loses nothing)."""
     pick(docs)
+    key, gone = fresh(docs, "__uid"), fresh(docs, "__spans")
     uid = F.coalesce(F.col(f"`{doc_id}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))).cast("long")
-    keyed = docs.withColumn("__uid", uid)
-    spans = repeated_spans(keyed.select(F.col("__uid").alias("uid"), F.col(f"`{text}`").alias("text")), min_bytes)
-    return keyed.join(spans.select(F.col("uid").alias("__uid"), F.col("spans").alias("__spans")), "__uid", "left").drop("__uid")
+    keyed = docs.withColumn(key, uid)
+    spans = repeated_spans(keyed.select(F.col(key).alias("uid"), F.col(f"`{text}`").alias("text")), min_bytes)
+    found = keyed.join(spans.select(F.col("uid").alias(key), F.col("spans").alias(gone)), key, "left")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], gone)
 
 
 def _kept(text, spans) -> tuple[bytes, list[tuple[int, int]]]:
@@ -334,7 +338,7 @@ def repeat_digest(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     kinds = [pa.int64()] * 4 + [pa.string()]
-    return joined.select("doc_id", "text", "__spans").mapInArrow(
+    return joined.mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -343,7 +347,6 @@ def without_repeats(docs: DataFrame, min_bytes: int = 200, doc_id: str = "doc_id
     All rows stay, with an empty text if nothing is left; null texts stay null."""
     joined = _with_spans(docs, doc_id, text, min_bytes)
     at, last = docs.columns.index(text), len(docs.columns)
-    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
 
     def run(batches):
         for batch in batches:
