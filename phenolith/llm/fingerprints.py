@@ -60,6 +60,19 @@ _COLUMNS = [("doc_id", pa.int64(), "long"), ("n_chars", pa.int64(), "long"), ("e
             ("near_edited", pa.float64(), "double"), ("near_next", pa.float64(), "double")]
 
 
+_HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
+
+
+def _packed(columns: list[str]) -> list:
+    """Hex columns as bytes, half as long on disk."""
+    return [F.unhex(F.when(F.col(c) != NONE, F.col(c)).otherwise(F.col(c).substr(1, 0))).alias(c) if c in _HEX else F.col(c) for c in columns]
+
+
+def _hexed(columns: list[str]) -> list:
+    none = lambda c: F.when(F.octet_length(c) == 0, F.lit(NONE)).otherwise(F.lower(F.hex(c)))
+    return [none(c).alias(c) if c in _HEX else F.col(c) for c in columns]
+
+
 def _compared(key, text: str, own: str, following: str, next_print: str) -> tuple:
     edited = half_replaced(text, following)
     changed = fingerprint(edited)
@@ -100,7 +113,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     kinds = [k for _, k, _ in _COLUMNS] + [pa.int32(), pa.string(), pa.int64(), pa.string()]
     own_schema = ", ".join(f"{n} {s}" for n, _, s in _COLUMNS)
     ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows = materialise(ordered.mapInArrow(stream, f"{own_schema}, part int, edge string, edge_id long, edge_text string"), "compared")
+    rows = ordered.mapInArrow(stream, f"{own_schema}, part int, edge string, edge_id long, edge_text string")
+    rows = materialise(rows.select(*_packed(rows.columns)), "compared")
+    rows = rows.select(*_hexed(rows.columns))
     first = rows.where("edge = 'first'").select(F.col("part").alias("to"), F.col("edge_text").alias("following"))
     # one row for each partition that holds rows
     parts = first.select("to").withColumn("part", F.lag("to").over(W.orderBy("to")))
