@@ -39,8 +39,8 @@ def clean_hospital_dates(df: DataFrame, date_cols: Iterable[str] = ("admidate",
     return df, absent
 
 
-def baseline_date(cohort: DataFrame, eids: DataFrame | None = None, check: bool = False) -> DataFrame:
-    """D3: assessment date per person; ``check`` raises when a person occurs twice."""
+def baseline_date(cohort: DataFrame, eids: DataFrame | None = None, check: bool = True) -> DataFrame:
+    """D3: assessment date per person; a person that occurs twice is an error unless ``check`` is off."""
     df = _people(cohort, eids).select("eid", X.iso_date(F.col("f53")).alias("date_baseline_assessment"))
     if check:
         assert_unique_people(df)
@@ -62,7 +62,7 @@ def time_since_baseline(df: DataFrame, cohort: DataFrame, id_col: str = "eid", d
 
 
 def date_of_death(cohort: DataFrame, eids: DataFrame | None = None, drop_alive: bool = True,
-                  check: bool = False) -> DataFrame:
+                  check: bool = True) -> DataFrame:
     """Death date per person, optionally only the dead."""
     df = _people(cohort, eids).select("eid", F.col("f40000").alias("dod"))
     if check:
@@ -70,7 +70,7 @@ def date_of_death(cohort: DataFrame, eids: DataFrame | None = None, drop_alive:
     return df.where(F.col("dod").isNotNull()) if drop_alive else df
 
 
-def date_of_birth(cohort: DataFrame, eids: DataFrame | None = None, check: bool = False) -> DataFrame:
+def date_of_birth(cohort: DataFrame, eids: DataFrame | None = None, check: bool = True) -> DataFrame:
     """Birth date per person."""
     df = _people(cohort, eids).select("eid", "dob")
     if check:

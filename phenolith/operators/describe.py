@@ -40,13 +40,13 @@ def count_people(events: DataFrame, first: DataFrame, phenotype: str) -> DataFra
 def report_by_field(events: DataFrame, lkp_fields: DataFrame, phenotype: str) -> DataFrame:
     """R2: people and events per field, with the field title (inner join to the ten-row lookup)."""
     e = events.where(F.col("phenotype") == phenotype)
-    return (e.join(F.broadcast(lkp_fields), "field_id", "inner")
+    return (e.join(lkp_fields, "field_id", "inner")
             .groupBy("field_id", "title")
             .agg(F.count_distinct("eid").alias("num_patients"), F.count(F.lit(1)).alias("num_events")))
 
 
-def report_by_category(events: DataFrame, phenotype: str, compat: bool = True) -> DataFrame:
-    """People and events per source category (the report uses the reference's label CASE)."""
+def report_by_category(events: DataFrame, phenotype: str, compat: bool = False) -> DataFrame:
+    """People and events per source category (``compat``: labels by the list with 41240 for 41210)."""
     e = events.where(F.col("phenotype") == phenotype)
     return (e.withColumn("field_id_label", X.source_label(F.col("field_id"), compat))
             .groupBy("field_id_label")

@@ -51,14 +51,6 @@ def events_by_field(events: DataFrame, fields: Iterable[int] | None = None,
     return df
 
 
-def without_phenotype(events: DataFrame, phenotype: str, field_id: int | None = None) -> DataFrame:
-    """E5 / E6 as a query: the table without a phenotype (or one of its fields)."""
-    cond = F.col("phenotype") == phenotype
-    if field_id is not None:
-        cond = cond & (F.col("field_id") == field_id)
-    return events.where(~cond)
-
-
 def cohort_eids(cohort: DataFrame) -> DataFrame:
     """People in the cohort."""
     return cohort.select("eid").distinct()
@@ -95,12 +87,10 @@ def first_events(events: DataFrame, cohort: DataFrame, compat: bool = False, cla
 # ----------------------------------------------------------------------------------------------
 
 def phenotype_first(first: DataFrame, phenotypes: Iterable[str] | str | None = None,
-                    fields: Iterable[int] | None = None, first_only: bool = True,
-                    limit: int | None = None) -> DataFrame:
+                    fields: Iterable[int] | None = None, first_only: bool = True) -> DataFrame:
     """first events read back for analysis; sentinel dates removed (D1), then - with
     ``first_only`` - the earliest remaining event per (eid, phenotype). Ties go to the smallest
-    field_id; a group whose dates are all NULL keeps its smallest field_id with a NULL date.
-    ``limit`` caps the rows read before cleaning, as the reference's LIMIT does."""
+    field_id; a group whose dates are all NULL keeps its smallest field_id with a NULL date."""
     if isinstance(phenotypes, str):
         phenotypes = [phenotypes]
     df = first.select("eid", "phenotype", "eventdate", "field_id")
@@ -108,8 +98,6 @@ def phenotype_first(first: DataFrame, phenotypes: Iterable[str] | str | None = N
         df = df.where(F.col("phenotype").isin(*list(phenotypes)))
     if fields is not None:
         df = df.where(F.col("field_id").isin(*list(fields)))
-    if limit is not None:
-        df = df.limit(limit)
     df = df.where(X.not_in_dates(F.col("eventdate"), C.SURVEY_PLACEHOLDER_DATES))
     if not first_only:
         return df

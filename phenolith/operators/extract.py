@@ -321,11 +321,11 @@ def extract_nonstandard(sources: Sources, matches: DataFrame) -> DataFrame:
 def extract_gp_biomarker(sources: Sources, tag: str, serum_codes: Iterable[str], plasma_codes: Iterable[str]) -> DataFrame:
     """Measurement rows for serum and plasma code lists as ``<tag>_serum`` / ``<tag>_plasma``.
     Provider 2 reports value2 with unit value3, the others value1 without unit; a unit must be NULL or
-    one of the accepted units. Both lists probe one broadcast table (a code in both gives two rows)."""
+    one of the accepted units. Both lists probe one table, which Spark broadcasts if it is small (a code in both gives two rows)."""
     spark = sources.gp_clinical.sparkSession
     rows = [(c, f"{tag}_serum") for c in dict.fromkeys(serum_codes)] + \
            [(c, f"{tag}_plasma") for c in dict.fromkeys(plasma_codes)]
-    lists = F.broadcast(spark.createDataFrame(rows, "code string, phenotype string"))
+    lists = spark.createDataFrame(rows, "code string, phenotype string")
     g = sources.gp_clinical.select(
         "eid", F.col("read_code").alias("code"), "eventdate",
         F.when(F.col("data_provider") == 2, F.col("value2")).otherwise(F.col("value1")).alias("_v"),

@@ -540,14 +540,23 @@ def r2_report_by_field(spark, sf_dir):
     return R.report_by_field(_events(_study(spark, sf_dir)), views.lkp_fields(spark), PHENOTYPE)
 
 
-@register("r3_report_by_category", O.with_views(
-    f"SELECT {O.label_sql('p.field_id', compat=True)} AS field_id_label, count(DISTINCT eid) AS num_patients, "
-    f"count(*) AS num_events FROM phenotypes p WHERE p.phenotype = '{PHENOTYPE}' GROUP BY field_id_label",
-    _EVENTS_CTE))
+def _r3_sql(compat: bool) -> str:
+    return O.with_views(
+        f"SELECT {O.label_sql('p.field_id', compat=compat)} AS field_id_label, count(DISTINCT eid) AS num_patients, "
+        f"count(*) AS num_events FROM phenotypes p WHERE p.phenotype = '{PHENOTYPE}' GROUP BY field_id_label",
+        _EVENTS_CTE)
+
+
+@register("r3_report_by_category", _r3_sql(False))
 def r3_report_by_category(spark, sf_dir):
     return R.report_by_category(_events(_study(spark, sf_dir)), PHENOTYPE)
 
 
+@register("r3_report_by_category_compat", _r3_sql(True))
+def r3_report_by_category_compat(spark, sf_dir):
+    return R.report_by_category(_events(_study(spark, sf_dir)), PHENOTYPE, compat=True)
+
+
 _R4_SQL = (
     "SELECT eid, CASE sex WHEN '0' THEN 'F' WHEN '1' THEN 'M' ELSE sex END AS sex, yob, mob, date_assess, "
     "assess_centre, country, dob, age_assess, depriv, bmi, height, weight, sysbp, diasbp, "

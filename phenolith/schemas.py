@@ -15,14 +15,6 @@ PHENOTYPES = T.StructType([
 ])
 PHENOTYPE_COLUMNS = [f.name for f in PHENOTYPES.fields]
 
-BASELINE = T.StructType([
-    T.StructField("eid", T.LongType()),
-    T.StructField("field", T.IntegerType()),
-    T.StructField("i", T.IntegerType()),
-    T.StructField("n", T.IntegerType()),
-    T.StructField("value", T.StringType()),
-])
-
 # column lists of the record files (the columns the engine reads; extra columns in a file are ignored)
 RECORD_COLUMNS = {
     "hesin": ("eid", "ins_index", "epistart", "admidate", "disdate"),

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="phenolith-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()

@@ -13,6 +13,8 @@ year-of-birth lookup, the rest bypass the join, so the big GP tables are never s
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass, fields as dc_fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,22 +51,12 @@ class Sources:
 FIELD_NAME_RE = r"^(\d+)(?:-(\d+)(?:\.(\d+))?)?"
 
 
-def field_info(name: Column) -> tuple[Column, Column, Column]:
-    """L2 on a column of header names: ``123-1.0`` -> (123, 1, 0); a name without ``-``/``.`` -> (id, 0, 0)."""
-    fid = X.try_cast(F.regexp_extract(name, FIELD_NAME_RE, 1), "int")
-    inst = F.coalesce(X.try_cast(F.nullif(F.regexp_extract(name, FIELD_NAME_RE, 2), F.lit("")), "int"), F.lit(0))
-    slot = F.coalesce(X.try_cast(F.nullif(F.regexp_extract(name, FIELD_NAME_RE, 3), F.lit("")), "int"), F.lit(0))
-    return fid, inst, slot
-
-
 def parse_field_name(name: str) -> tuple[int, int, int]:
-    """L2 for one header name (driver side, used by tests and for validation of a header)."""
-    try:
-        head, slot = name.split(".", 1)[0], name.split(".")[1]
-        fid, inst = head.split("-")
-        return int(fid), int(inst), int(slot)
-    except (ValueError, IndexError):
-        return int(name.split("-")[0]), 0, 0
+    """L2: (field, visit, slot) of a header name, ``field[-visit[.slot]]``; what is not there is 0."""
+    found = re.match(FIELD_NAME_RE, name)
+    if found is None:
+        raise ValueError(f"{name!r} is not a field name")
+    return tuple(int(part or 0) for part in found.groups())
 
 
 def wide_to_long(wide: DataFrame, id_col: str = "eid") -> DataFrame:
@@ -99,21 +91,25 @@ def write_long(long: DataFrame, path: str, mode: str = "overwrite") -> None:
 # L3: tab-separated record files
 # ----------------------------------------------------------------------------------------------
 
-def read_record_tsv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_record_tsv(spark: SparkSession, path: str, table: str, every_column: bool = False) -> DataFrame:
     """L3: quoted, tab-separated, header skipped; every column read as text (nothing inferred), the
     columns the engine uses selected by header name, then typed with try_* ('' and bad values -> NULL).
-    Record files carry many more columns than are used; a positional schema would misread them."""
+    Record files carry many more columns than are used; a positional schema would misread them. With
+    ``every_column`` these follow as text. A used column that the header lacks is an error."""
     raw = (spark.read.option("sep", "\t").option("quote", '"').option("header", True)
            .option("inferSchema", False).csv(path))
-    present = set(raw.columns)
+    if absent := [c for c in RECORD_COLUMNS[table] if c not in raw.columns]:
+        raise ValueError(f"{table} file without the column(s) {', '.join(absent)}")
     out = []
     for c in RECORD_COLUMNS[table]:
-        v = F.nullif(F.col(f"`{c}`"), F.lit("")) if c in present else F.lit(None).cast("string")
+        v = F.nullif(F.col(f"`{c}`"), F.lit(""))
         if c in RECORD_DATE_COLUMNS.get(table, ()):
             v = X.uk_date(v)
         elif c == "eid" or c in RECORD_INT_COLUMNS.get(table, ()):
             v = X.try_cast(v, "bigint" if c in ("eid", "ins_index") else "int")
         out.append(v.alias(c))
+    if every_column:
+        out += [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns if c not in RECORD_COLUMNS[table]]
     return raw.select(*out)
 
 
