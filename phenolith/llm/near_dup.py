@@ -147,6 +147,8 @@ def _rest(entries: DataFrame, hubs: DataFrame, comp: DataFrame, vertices: DataFr
     labelled = entries.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
     members = materialise(labelled.join(mixed, "bucket"), "mixed")
+    if members.isEmpty():
+        return entries.sparkSession.createDataFrame([], "u long, v long")
     hub = hubs.join(mixed, "bucket").select("bucket", "hub")
     around = components(members.join(hub, "bucket").select(F.col("id").alias("u"), F.col("hub").alias("v")))
     residual = members.select("id", "component").distinct().join(
