@@ -1,7 +1,8 @@
 """Event extraction (X1-X20): record scan -> code match -> date rule -> the six ``phenotypes`` columns.
 
 The reference runs one SQL statement per (definition, field) with the codes pasted into ``IN`` lists or
-anchored regular expressions. Here every source table is scanned **once for all definitions**:
+anchored regular expressions. Here every source table is scanned **once for all definitions** (the long survey table
+three times: answers, qualifiers, years of birth):
 
 * exact codes (self-report answers, Read codes): broadcast equi-join on (field_id, code);
 * prefix codes (ICD-10, OPCS-4, registry): the match table holds a *minimal cover* per (definition, field,
@@ -220,15 +221,47 @@ def _rule(qual_type) -> F.Column:
     )
 
 
-def _same_slot_field() -> F.Column:
+def _qualifier_field() -> F.Column:
+    """The field that dates a hit by its rule."""
     fid = F.col("field_id")
     expr = F.when(F.col("_rule") == "registry", F.lit(C.F_CANCER_REG_DATE)) \
-        .when(F.col("_rule") == "biomarker", F.lit(C.F_ASSESS_DATE))
+        .when(F.col("_rule").isin("biomarker", "baseline"), F.lit(C.F_ASSESS_DATE))
     for answer, year in C.SELF_REPORT_YEAR_FIELD.items():
         expr = expr.when(fid == answer, F.lit(year))
     return expr.when(F.col("_rule").isin("age", "year"), F.col("qual_field"))
 
 
+def _slot_key(n, field) -> F.Column:
+    """(slot, field) as one 64-bit key."""
+    return F.shiftleft(n.cast("bigint"), 32).bitwiseOR(field.cast("bigint"))
+
+
+def _candidate(kind, code) -> F.Column:
+    """What an answer and a code are matched by: the code under a sign of its kind; a biomarker has no code."""
+    return (F.when(kind == "exact", F.concat(F.lit("="), code))
+            .when(kind == "prefix", F.concat(F.lit("^"), code))
+            .when(kind == "biomarker", F.lit("*")))
+
+
+def _candidates(baseline: DataFrame, info: K.MatchInfo, used: dict[str, list[int]]) -> DataFrame:
+    """One scan of the long table for the fields in use; each answer once for everything it can match by."""
+    wanted = sorted({f for fields in used.values() for f in fields})
+    value, folded = F.col("field_value"), F.upper(F.col("field_value"))
+    ways = []
+    if used.get("exact"):
+        ways.append((used["exact"], _candidate(F.lit("exact"), value)))
+    if used.get("prefix"):
+        ways += [(used["prefix"], F.when(F.length(folded) >= k, _candidate(F.lit("prefix"), F.substring(folded, 1, k))))
+                 for k in info.prefix_lengths]
+    if used.get("biomarker"):
+        ways.append((used["biomarker"], _candidate(F.lit("biomarker"), F.lit(""))))
+    all_ways = F.array(*[F.when(F.col("field_id").isin(*fields), way) for fields, way in ways]
+                       or [F.lit(None).cast("string")])
+    return (baseline.where(F.col("field").isin(*wanted))
+            .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
+            .withColumn("_code", F.explode(F.filter(all_ways, lambda c: c.isNotNull()))))
+
+
 def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] | None = None,
                    undated: bool = False, info: K.MatchInfo | None = None) -> DataFrame:
     """X1-X9, X14 over the long table in one pass for all definitions.
@@ -239,55 +272,46 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
     m = matches.where(~F.col("field_id").isin(*non_survey))
     if fields is not None:
         m = m.where(F.col("field_id").isin(*fields))
-    # only the fields the definitions use are read (a static filter: partition pruning on a long table
-    # stored by field, and union-branch pruning on the fixture views)
+    # a static field filter: partition pruning on a long table stored by field, and union-branch pruning on
+    # the fixture views
     info = _info(matches, info)
-    # each branch reads only the fields with codes of its kind (a field folder is read by one branch)
-    def used(kind):
-        return [f for f in info.kind_fields(kind) if f not in non_survey and (fields is None or f in fields)]
-
-    def long_rows(kind):
-        return sources.baseline.where(F.col("field").isin(*used(kind))) \
-            .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
-
-    exact = match_exact(long_rows("exact"), m, info=info).withColumn("match", F.lit("exact"))
+    rows = _candidates(sources.baseline, info, {
+        kind: [f for f in info.kind_fields(kind) if f not in non_survey and (fields is None or f in fields)
+               and (kind != "prefix" or f == C.F_CANCER_REGISTRY)]
+        for kind in (("exact",) if undated else ("exact", "prefix", "biomarker"))})
+    probe = _probe(m.withColumn("_code", _candidate(F.col("match"), F.col("code"))),
+                   ["field_id", "_code", "match", "phenotype", "type", "qual_type", "qual_field"], info)
+    hits = rows.join(probe, ["field_id", "_code"], "inner").drop("_code")
     if undated:
-        return _out(exact, X.null_date())
-    prefix = match_prefix(long_rows("prefix"), m.where(F.col("field_id") == C.F_CANCER_REGISTRY),
-                          info=info).withColumn("match", F.lit("prefix"))
-    bio = _probe(m.where(F.col("match") == "biomarker"),
-                 ["field_id", "phenotype", "type", "qual_type", "qual_field"], info)
-    biomarker = long_rows("biomarker").join(bio, "field_id", "inner").withColumn("match", F.lit("biomarker"))
-    hits = exact.unionByName(prefix).unionByName(biomarker)
+        return _out(hits, X.null_date())
     hits = hits.withColumn("_rule", _rule(F.col("qual_type"))).where(F.col("_rule").isNotNull())
-    hits = hits.withColumn("_qf", _same_slot_field())
 
-    # same (visit, slot) qualifier: one left join for every qualifier field in use; the field list comes
-    # from the (small) match table so that the scan of the long table is pruned to those fields
+    # one left join for the qualifiers of all rules: the assessment date of visit 0 for a baseline rule, else the
+    # qualifier field of the record's own (visit, slot). Slot and field are packed into one key: it needs a data
+    # column, so the scan keeps its static field list and no copy of the hits is planned to prune it further.
+    rule = F.col("_rule")
+    at_baseline = rule == "baseline"
+    hits = hits.withColumns({
+        "_visit": F.when(at_baseline, F.lit(0)).otherwise(F.col("i")),
+        "_key": _slot_key(F.when(at_baseline, F.lit(0)).otherwise(F.col("n")), _qualifier_field())})
     q_fields = sorted(set(info.qual_fields) | set(C.SELF_REPORT_YEAR_FIELD.values())
                       | {C.F_CANCER_REG_DATE, C.F_ASSESS_DATE})
-    qual = sources.baseline.where(F.col("field").isin(*q_fields)) \
-        .select("eid", "i", "n", F.col("field").alias("_qf"), F.col("value").alias("_q"))
-    same_slot = hits.join(qual, ["eid", "i", "n", "_qf"], "left")
-
-    # visit-0 qualifiers only for the rows that need them: an age rule needs the year of birth, a baseline
-    # rule the assessment date - one value each, so one equi-join on (eid, that field) serves both
-    # (a left join, as the reference's; no per-person aggregation)
-    rule = F.col("_rule")
-    per_person = {"age": C.F_YOB, "baseline": C.F_ASSESS_DATE}
-    pf = F.when(rule == "age", F.lit(C.F_YOB)).when(rule == "baseline", F.lit(C.F_ASSESS_DATE))
-    needs = same_slot.where(rule.isin(*per_person)).withColumn("_pf", pf)
-    rest = same_slot.where(~rule.isin(*per_person)).withColumns(
-        {"_pf": F.lit(None).cast("int"), "_pv": F.lit(None).cast("string")})
-    person = sources.baseline.where(F.col("field").isin(*per_person.values()) & (F.col("i") == 0) & (F.col("n") == 0)) \
-        .select("eid", F.col("field").alias("_pf"), F.col("value").alias("_pv"))
-    rows = rest.unionByName(needs.join(person, ["eid", "_pf"], "left"))
+    qual = sources.baseline.where(F.col("field").isin(*q_fields)).select(
+        "eid", F.col("i").alias("_visit"), _slot_key(F.col("n"), F.col("field")).alias("_key"), F.col("value").alias("_q"))
+    dated = hits.join(qual, ["eid", "_visit", "_key"], "left")
+
+    # an age rule needs the year of birth too; rows of other rules match nobody, and stay
+    # spread by eid
+    born = sources.baseline.where((F.col("field") == C.F_YOB) & (F.col("i") == 0) & (F.col("n") == 0)).select(
+        "eid", F.col("value").alias("_yob"))
+    dated = dated.withColumn("_aged", rule == "age")
+    left, right = dated.alias("h"), born.alias("b")
+    rows = left.join(right, (F.col("h.eid") == F.col("b.eid")) & F.col("h._aged"), "left").select("h.*", "b._yob")
 
     eventdate = (
         F.when(rule == "year", X.dated_by_year(F.col("_q")))
-        .when(rule == "age", X.dated_by_age(F.col("_q"), F.col("_pv")))
-        .when(rule == "baseline", X.iso_date(F.col("_pv")))
-        .when(rule.isin("registry", "biomarker"), X.iso_date(F.col("_q")))
+        .when(rule == "age", X.dated_by_age(F.col("_q"), F.col("_yob")))
+        .when(rule.isin("baseline", "registry", "biomarker"), X.iso_date(F.col("_q")))
     )
     return _out(rows, eventdate)
 

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from phenolith.operators import extract as XT
-from phenolith.plans.pipeline import Study
+from phenolith.plans.pipeline import Study, extract_phenotypes
 from phenolith.session import scratch_path
 from phenolith.sources import records as L
 from phenolith.sources.records import Sources
@@ -61,6 +61,16 @@ def test_code_matching_is_broadcast_and_scans_are_pruned(spark, stored):
     assert "ReadSchema: struct<eid:bigint,ins_index:bigint,epistart:date,admidate:date>" in p
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_survey_extraction_plans_three_scans_of_the_long_table(spark, stored, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        p = plan(extract_phenotypes(stored, testing=True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < p.count("/baseline]") <= 3 and "dynamicpruning" not in p
+
+
 def test_cohort_big_aggregate_is_hash_based(spark, stored):
     p = plan(stored.cohort())
     assert "HashAggregate(keys=[eid" in p
