@@ -222,7 +222,8 @@ def extraction_statements(defs: dict[str, dict], phenotypes: Iterable[str] | Non
 
 
 RECORD_CTES = ("raw_hesin", "raw_hesin_diag", "raw_hesin_oper", "raw_death", "raw_death_cause",
-               "raw_gp_clinical", "raw_gp_registrations", "raw_gp_prescriptions", "raw_baseline")
+               "raw_gp_clinical", "raw_gp_registrations", "raw_gp_prescriptions", "raw_prescription_lines",
+               "raw_baseline")
 
 
 def with_views(body: str, extra: dict[str, str] | None = None, names: Iterable[str] = RECORD_CTES) -> str:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +90,7 @@ def l1_wide_to_long(spark, sf_dir):
     return L.wide_to_long(views.raw_views(spark, sf_dir)["raw_wide"])
 
 
-@register("l3_load_hesin", O.with_views("SELECT eid, ins_index, epistart, admidate, disdate FROM raw_hesin"))
+@register("l3_load_hesin", O.with_views("SELECT eid, ins_index, epistart, epiend, admidate, disdate FROM raw_hesin"))
 def l3_load_hesin(spark, sf_dir):
     path = scratch_path(spark, "hesin_tsv")
     L.write_record_tsv(views.raw_view(spark, sf_dir, "raw_hesin"), path)
@@ -291,10 +293,10 @@ def x19_diagnoses_of_people(spark, sf_dir):
 
 
 @register("x20_drug_word", O.with_views(
-    f"SELECT * FROM raw_gp_prescriptions WHERE regexp_matches(drug_name, '\\s{DRUG_WORD}|^{DRUG_WORD}')"))
+    f"SELECT * FROM raw_prescription_lines WHERE regexp_matches(drug_name, '\\s{DRUG_WORD}|^{DRUG_WORD}')"))
 def x20_drug_word(spark, sf_dir):
-    s = _study(spark, sf_dir)
-    return XT.prescriptions_with_word(s.sources, DRUG_WORD)
+    every_line = replace(_study(spark, sf_dir).sources, gp_prescriptions=views.raw_view(spark, sf_dir, "raw_prescription_lines"))
+    return XT.prescriptions_with_word(every_line, DRUG_WORD)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -485,7 +487,7 @@ def d1_clean_event_dates(spark, sf_dir):
 @register("d2_clean_hospital_dates", O.with_views(
     "SELECT * FROM raw_hesin WHERE " + " AND ".join(
         f"({c} IS NULL OR {c} NOT IN (DATE '1800-01-01', DATE '1801-01-01', DATE '2037-07-07'))"
-        for c in ("admidate", "disdate", "epistart"))))
+        for c in ("admidate", "disdate", "epistart", "epiend"))))
 def d2_clean_hospital_dates(spark, sf_dir):
     return D.clean_hospital_dates(_study(spark, sf_dir).sources.hesin)[0]
 

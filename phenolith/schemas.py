@@ -17,7 +17,7 @@ PHENOTYPE_COLUMNS = [f.name for f in PHENOTYPES.fields]
 
 # column lists of the record files (the columns the engine reads; extra columns in a file are ignored)
 RECORD_COLUMNS = {
-    "hesin": ("eid", "ins_index", "epistart", "admidate", "disdate"),
+    "hesin": ("eid", "ins_index", "epistart", "epiend", "admidate", "disdate"),
     "hesin_diag": ("eid", "ins_index", "arr_index", "level", "diag_icd10"),
     "hesin_oper": ("eid", "ins_index", "arr_index", "level", "opdate", "oper4"),
     "death": ("eid", "ins_index", "date_of_death"),
@@ -27,7 +27,7 @@ RECORD_COLUMNS = {
     "gp_prescriptions": ("eid", "data_provider", "issue_date", "bnf_code", "dmd_code", "drug_name", "quantity"),
 }
 RECORD_DATE_COLUMNS = {
-    "hesin": ("epistart", "admidate", "disdate"),
+    "hesin": ("epistart", "epiend", "admidate", "disdate"),
     "hesin_oper": ("opdate",),
     "death": ("date_of_death",),
     "gp_clinical": ("event_dt",),

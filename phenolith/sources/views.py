@@ -18,6 +18,8 @@ RAW_VIEWS: dict[str, str] = {
     "raw_hesin": """
 SELECT o_custkey AS eid, o_orderkey AS ins_index,
        CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS date) END AS epistart,
+       CASE WHEN o_orderkey % 89 = 0 THEN DATE '1801-01-01' WHEN o_orderkey % 50 = 0 THEN NULL
+            ELSE CAST(o_orderdate AS date) + CAST(o_orderkey % 15 AS int) END AS epiend,
        CASE WHEN o_orderstatus = 'P' OR o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS date) + CAST(1 AS int) END AS admidate,
        CASE WHEN o_orderkey % 97 = 0 THEN DATE '2037-07-07' ELSE CAST(o_orderdate AS date) + CAST(o_orderkey % 20 AS int) END AS disdate
 FROM orders""",
@@ -33,7 +35,7 @@ SELECT o_custkey AS eid, l_orderkey AS ins_index, CAST(l_linenumber AS int) AS a
        CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_shipdate AS date) END AS opdate,
        chr(CAST(75 + l_suppkey % 5 AS int)) || CAST(l_partkey % 10 AS string)
          || CAST(CAST(floor(l_partkey / 10) AS bigint) % 10 AS string) || CAST(l_linenumber AS string) AS oper4
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "raw_death": """
 SELECT c_custkey AS eid, CAST(0 AS int) AS ins_index, DATE '2010-01-01' + CAST(c_custkey % 3000 AS int) AS date_of_death
 FROM customer WHERE c_custkey % 7 = 0
@@ -66,10 +68,10 @@ FROM customer WHERE c_custkey % 2 = 0
 UNION ALL
 SELECT c_custkey, CAST(1 + c_custkey % 4 AS int), DATE '2005-01-01', CAST(NULL AS date)
 FROM customer WHERE c_custkey % 8 = 0""",
-    "raw_gp_prescriptions": """
+    "raw_prescription_lines": """
 SELECT o_custkey AS eid, CAST(1 + o_orderkey % 4 AS int) AS data_provider, CAST(l_shipdate AS date) AS issue_date,
        p_brand AS bnf_code, CAST(p_partkey AS string) AS dmd_code, p_name AS drug_name, CAST(l_quantity AS string) AS quantity
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' AND o_custkey % 5 = 0""",
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "raw_baseline": """
 SELECT CAST(eid AS bigint) AS eid, CAST(field AS int) AS field, CAST(i AS int) AS i, CAST(n AS int) AS n, value FROM (
   SELECT c_custkey AS eid, 31 AS field, 0 AS i, 0 AS n, CAST(c_custkey % 2 AS string) AS value FROM customer WHERE c_custkey % 53 <> 0
@@ -98,6 +100,9 @@ SELECT CAST(eid AS bigint) AS eid, CAST(field AS int) AS field, CAST(i AS int) A
 ) x""",
 }
 
+# people without prescriptions: the cohort's flag and provider need some, and every customer has an order
+RAW_VIEWS["raw_gp_prescriptions"] = RAW_VIEWS["raw_prescription_lines"] + " WHERE o_custkey % 5 = 0"
+
 # the wide survey file (one string column per "<field>-<visit>.<slot>"), made from customer
 WIDE_COLUMNS = ("31-0.0", "34-0.0", "20002-0.0", "20002-0.1", "21001-0.0", "22000")
 _WIDE_EXPRS = (

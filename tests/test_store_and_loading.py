@@ -91,11 +91,11 @@ def test_field_names():
 
 def test_tsv_loader(spark, tmp_path):
     p = tmp_path / "hesin.txt"
-    p.write_text("eid\tdsource\tins_index\tepistart\tadmidate\tdisdate\n"
-                 "1\tHES\t0\t03/02/2010\t\t31/02/2010\n"
-                 "\"2\"\tSMR\t1\t\t01/01/2011\tbad\n")
+    p.write_text("eid\tdsource\tins_index\tepistart\tepiend\tadmidate\tdisdate\n"
+                 "1\tHES\t0\t03/02/2010\t05/02/2010\t\t31/02/2010\n"
+                 "\"2\"\tSMR\t1\t\t\t01/01/2011\tbad\n")
     got = sorted(tuple(r) for r in L.read_record_tsv(spark, str(p), "hesin").collect())
-    assert got == [(1, 0, d("2010-02-03"), None, None), (2, 1, None, d("2011-01-01"), None)]
+    assert got == [(1, 0, d("2010-02-03"), d("2010-02-05"), None, None), (2, 1, None, None, d("2011-01-01"), None)]
 
 
 def _np_profile(xs, lo, hi):
