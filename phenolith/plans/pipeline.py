@@ -70,8 +70,9 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
 
     * unknown names raise (C2); complex definitions, SNOMED and prescription fields are skipped;
     * ``fields`` keeps only those fields (a field a definition does not define yields nothing);
-    * without ``refresh`` a (phenotype, field) already in the store is skipped (anti join on the store's
-      partition listing); with ``refresh`` its partition is removed first and re-extracted;
+    * without ``refresh`` a (phenotype, field) that the store records as finished is skipped, and if that
+      leaves none, no job runs; with ``refresh`` it is extracted again. The old events give way only after
+      the new ones are written (:meth:`EventStore.replace`);
     * ``testing`` writes nothing and returns the rows; test mode with refresh is rejected (Q12)."""
     if testing and refresh:
         raise ValueError("refresh needs a store; test mode never writes")
@@ -87,12 +88,13 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
     if store is None:
         raise ValueError("a store is needed outside test mode")
     requested = [(r.phenotype, int(r.field_id)) for r in m.select("phenotype", "field_id").distinct().collect()]
-    present = set(store.partitions())
-    if refresh:
-        store.delete_pairs([p for p in requested if p in present])
-    else:
-        m = m.join(F.broadcast(store.extracted()), ["phenotype", "field_id"], "left_anti")
-    store.append(XT.extract_all(study.sources, m, info=study.info))
+    todo = requested if refresh else sorted(set(requested) - store.finished())
+    if todo:
+        pairs = study.spark.createDataFrame(todo, "phenotype string, field_id int")
+        left = m.join(pairs, ["phenotype", "field_id"], "left_semi").cache()
+        # facts of what is left, so that only its fields are read; both are bounded by the definitions
+        store.replace(XT.extract_all(study.sources, left, info=K.match_info(left)), todo)
+        left.unpersist()
     return None
 
 

@@ -11,7 +11,6 @@ definition folder or fixed values; they are covered by unit tests instead of bei
 from __future__ import annotations
 
 from collections.abc import Callable
-
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -306,45 +305,41 @@ def x20_drug_word(spark, sf_dir):
 _EVENTS_CTE = {"phenotypes": _ev()}
 
 
-def _events(s: Study) -> DataFrame:
-    return s.events()
+def _store(spark, sf_dir) -> EventStore:
+    """All events, extracted into a store of their own."""
+    store = EventStore(spark, scratch_path(spark, "phenotypes"))
+    extract_phenotypes(_study(spark, sf_dir), store=store, testing=False)
+    return store
 
 
 @register("e1_people_with_phenotype", O.with_views(
     f"SELECT DISTINCT eid FROM phenotypes WHERE phenotype = '{PHENOTYPE}'", _EVENTS_CTE))
 def e1_people_with_phenotype(spark, sf_dir):
-    return EV.individuals_by_phenotype(_events(_study(spark, sf_dir)), PHENOTYPE)
+    return EV.individuals_by_phenotype(_store(spark, sf_dir).read(), PHENOTYPE)
 
 
 @register("e2_phenotypes_present", O.with_views("SELECT DISTINCT phenotype FROM phenotypes", _EVENTS_CTE))
 def e2_phenotypes_present(spark, sf_dir):
-    return EV.phenotype_entries(_events(_study(spark, sf_dir)))
+    return EV.phenotype_entries(_store(spark, sf_dir).read())
 
 
 @register("e3_phenotypes_for_field", O.with_views(
     f"SELECT DISTINCT phenotype FROM phenotypes WHERE field_id = {E3_FIELD}", _EVENTS_CTE))
 def e3_phenotypes_for_field(spark, sf_dir):
-    return EV.phenotypes_by_field(_events(_study(spark, sf_dir)), E3_FIELD)
+    return EV.phenotypes_by_field(_store(spark, sf_dir).read(), E3_FIELD)
 
 
 @register("e4_events_by_field", O.with_views(
     f"SELECT * FROM phenotypes WHERE field_id IN {tuple(E4_FIELDS)} AND phenotype IN {tuple(E4_PHENOTYPES)}",
     _EVENTS_CTE))
 def e4_events_by_field(spark, sf_dir):
-    return EV.events_by_field(_events(_study(spark, sf_dir)), E4_FIELDS, E4_PHENOTYPES)
-
-
-def _stored_events(spark, sf_dir) -> EventStore:
-    s = _study(spark, sf_dir)
-    store = EventStore(spark, scratch_path(spark, "phenotypes"))
-    store.append(s.events())
-    return store
+    return EV.events_by_field(_store(spark, sf_dir).read(), E4_FIELDS, E4_PHENOTYPES)
 
 
 @register("e5_delete_phenotype", O.with_views(
     f"SELECT * FROM phenotypes WHERE phenotype <> '{PHENOTYPE}'", _EVENTS_CTE))
 def e5_delete_phenotype(spark, sf_dir):
-    store = _stored_events(spark, sf_dir)
+    store = _store(spark, sf_dir)
     store.delete_phenotype(PHENOTYPE)
     return store.read()
 
@@ -352,7 +347,7 @@ def e5_delete_phenotype(spark, sf_dir):
 @register("e6_delete_phenotype_field", O.with_views(
     f"SELECT * FROM phenotypes WHERE NOT (phenotype = '{PHENOTYPE}' AND field_id = {E3_FIELD})", _EVENTS_CTE))
 def e6_delete_phenotype_field(spark, sf_dir):
-    store = _stored_events(spark, sf_dir)
+    store = _store(spark, sf_dir)
     store.delete(PHENOTYPE, E3_FIELD)
     return store.read()
 
@@ -481,7 +476,7 @@ def f11_phenotype_first(spark, sf_dir):
     "SELECT * FROM phenotypes WHERE eventdate IS NULL OR eventdate NOT IN "
     "(DATE '1900-01-01', DATE '1901-01-01', DATE '2037-07-07')", _EVENTS_CTE))
 def d1_clean_event_dates(spark, sf_dir):
-    return D.clean_survey_dates(_events(_study(spark, sf_dir)))
+    return D.clean_survey_dates(_store(spark, sf_dir).read())
 
 
 @register("d2_clean_hospital_dates", O.with_views(
@@ -539,7 +534,7 @@ def r1_count_people(spark, sf_dir):
     f"FROM lkp_fields l, phenotypes p WHERE l.field_id = p.field_id AND p.phenotype = '{PHENOTYPE}' "
     "GROUP BY l.field_id, l.title", {**_EVENTS_CTE, "lkp_fields": views.lkp_fields_sql()}))
 def r2_report_by_field(spark, sf_dir):
-    return R.report_by_field(_events(_study(spark, sf_dir)), views.lkp_fields(spark), PHENOTYPE)
+    return R.report_by_field(_store(spark, sf_dir).read(), views.lkp_fields(spark), PHENOTYPE)
 
 
 def _r3_sql(compat: bool) -> str:
@@ -551,12 +546,12 @@ def _r3_sql(compat: bool) -> str:
 
 @register("r3_report_by_category", _r3_sql(False))
 def r3_report_by_category(spark, sf_dir):
-    return R.report_by_category(_events(_study(spark, sf_dir)), PHENOTYPE)
+    return R.report_by_category(_store(spark, sf_dir).read(), PHENOTYPE)
 
 
 @register("r3_report_by_category_compat", _r3_sql(True))
 def r3_report_by_category_compat(spark, sf_dir):
-    return R.report_by_category(_events(_study(spark, sf_dir)), PHENOTYPE, compat=True)
+    return R.report_by_category(_store(spark, sf_dir).read(), PHENOTYPE, compat=True)
 
 
 _R4_SQL = (

@@ -3,12 +3,16 @@
 The partition layout replaces the reference's index on (phenotype, field_id, eventdate): a query for one
 phenotype or field reads only its folders (partition pruning), "what is already extracted" is a
 directory listing, and deleting a (phenotype, field) is removing a folder - no rewrite of other data.
-Refresh therefore drops the requested partitions first and then appends; a definition that now
-matches nothing leaves no stale events behind (dynamic partition overwrite alone would keep them).
+Extraction never writes into those folders directly: ``replace`` writes the rows of the requested pairs to a
+staging folder (its name starts with an underscore, which readers pass over), and only after that job has
+succeeded renames folder by folder into place. A failed job leaves the old events as they were. Pairs are
+then recorded below ``_finished``, also those without any event, so that skipping trusts the record and a
+half-finished swap is done again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +56,7 @@ class EventStore:
          .write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(self.path))
 
     def read(self) -> DataFrame:
-        if not self.exists():
+        if not self.partitions():
             return self.spark.createDataFrame([], PHENOTYPES)
         return self.spark.read.schema(PHENOTYPES).parquet(self.path).select(*PHENOTYPE_COLUMNS)
 
@@ -72,9 +76,47 @@ class EventStore:
             out.append((ph, fid))
         return sorted(out)
 
-    def extracted(self) -> DataFrame:
-        """(phenotype, field_id) pairs present in the store."""
-        return self.spark.createDataFrame(self.partitions(), "phenotype string, field_id int")
+    def finished(self) -> set[tuple[str, int]]:
+        """(phenotype, field_id) pairs whose extraction was completed, with events or without."""
+        _, fs = self._fs()
+        out = set()
+        for st in fs.globStatus(self._path("_finished", "*")) or []:
+            field_id, phenotype = st.getPath().getName().split("=", 1)
+            out.add((self._unescape(phenotype), int(field_id)))
+        return out
+
+    # -- X18: extraction into the store ------------------------------------------------------------
+    def replace(self, events: DataFrame, pairs: Iterable[tuple[str, int]]) -> None:
+        """Make ``events`` the rows of ``pairs``, all of them and no others; a failure while they are written
+        leaves the store as it was."""
+        pairs = list(pairs)
+        _, fs = self._fs()
+        stage = f"_staging-{uuid.uuid4().hex}"
+        staged = EventStore(self.spark, f"{self.path}/{stage}")
+        try:
+            staged.append(events)
+            for phenotype, field_id in pairs:
+                folder = self._folder(phenotype, field_id)
+                mark = self._mark(phenotype, field_id)
+                fs.delete(mark, False)
+                fs.delete(self._path(*folder), True)
+                fresh = self._path(stage, *folder)
+                if fs.exists(fresh):
+                    fs.mkdirs(self._path(folder[0]))
+                    if not fs.rename(fresh, self._path(*folder)):
+                        raise OSError(f"could not move {fresh} into the store")
+                fs.create(mark, True).close()
+        finally:
+            fs.delete(self._path(stage), True)
+
+    def _folder(self, phenotype: str, field_id: int) -> tuple[str, str]:
+        return f"field_id={int(field_id)}", f"phenotype={self._escape(phenotype)}"
+
+    def _mark(self, phenotype: str, field_id: int):
+        return self._path("_finished", f"{int(field_id)}={self._escape(phenotype)}")
+
+    def _path(self, *parts: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
 
     # -- E5 / E6: deletes --------------------------------------------------------------------------
     def count(self, phenotype: str | None = None, field_id: int | None = None) -> int:
@@ -88,19 +130,16 @@ class EventStore:
     def delete(self, phenotype: str, field_id: int | None = None) -> int:
         """Remove a phenotype (all fields, E5) or one (phenotype, field) (E6); returns removed rows."""
         n = self.count(phenotype, field_id)
-        root, fs = self._fs()
-        jvm = self.spark.sparkContext._jvm
-        fid = "*" if field_id is None else self._escape(int(field_id))
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/field_id={fid}/phenotype={self._escape(phenotype)}")
-        for st in fs.globStatus(pattern) or []:
-            fs.delete(st.getPath(), True)
+        _, fs = self._fs()
+        for p, f in set(self.partitions()) | self.finished():
+            if p == phenotype and field_id in (None, f):
+                fs.delete(self._mark(p, f), False)
+                fs.delete(self._path(*self._folder(p, f)), True)
         return n
 
     def delete_phenotype(self, phenotype: str) -> tuple[int, int]:
         """E5: counts before and after removing one phenotype from the table."""
-        before = self.count()
+        after = F.count(F.when(F.col("phenotype") != phenotype, 1))
+        counts = self.read().agg(F.count(F.lit(1)), after).first()
         self.delete(phenotype)
-        return before, self.count()
-
-    def delete_pairs(self, pairs: Iterable[tuple[str, int]]) -> int:
-        return sum(self.delete(p, f) for p, f in pairs)
+        return int(counts[0]), int(counts[1])

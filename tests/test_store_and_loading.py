@@ -54,6 +54,37 @@ def test_refresh_equals_from_scratch(spark, study, all_events):
     assert store_rows(store) == all_events
 
 
+def test_failed_refresh_keeps_the_old_events(spark, study, all_events, monkeypatch):
+    store = fresh(spark)
+    extract_phenotypes(study, store=store, testing=False)
+
+    broken = study.events().withColumn("field_value", F.raise_error(F.lit("lost")).cast("string"))
+
+    def failing(*args, **kwargs):
+        return broken
+
+    with monkeypatch.context() as patch:
+        patch.setattr("phenolith.operators.extract.extract_all", failing)
+        with pytest.raises(Exception) as failed:
+            extract_phenotypes(study, store=store, refresh=True, testing=False)
+    assert "lost" in str(failed.value)
+    assert store_rows(store) == all_events
+    assert not [f for f in os.listdir(store.path.removeprefix("file:")) if f.startswith("_staging")]
+
+
+def test_nothing_left_extracts_nothing(spark, study, monkeypatch):
+    store = fresh(spark)
+    extract_phenotypes(study, store=store, testing=False)
+    requested = {(r.phenotype, r.field_id) for r in study.matches.select("phenotype", "field_id").distinct().collect()}
+    assert store.finished() == requested  # those without events too
+
+    def not_again(*args, **kwargs):
+        raise AssertionError("extracted again")
+
+    monkeypatch.setattr("phenolith.operators.extract.extract_all", not_again)
+    extract_phenotypes(study, store=store, testing=False)
+
+
 def test_field_filter_and_test_mode(spark, study):
     ev = extract_phenotypes(study, ["renal_decline"], fields=[41202, 99999], testing=True)
     assert {r.field_id for r in ev.select("field_id").distinct().collect()} == {41202}
