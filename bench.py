@@ -40,15 +40,8 @@ def load_records(spark, sf_dir: str) -> Sources:
     """The load step (L1/L3-L6 analogue): derive the record tables once and store them as Parquet, the
     long table partitioned by field; the timed queries then read stored tables as in production."""
     root = scratch_path(spark, "records")
-    src = fixture_sources(spark, sf_dir)
-    for name, df in src.as_dict().items():
-        if name == "baseline":
-            L.write_long(df, f"{root}/baseline")
-        else:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-    tables = {n: spark.read.parquet(f"{root}/{n}") for n in src.as_dict()}
-    tables["baseline"] = tables["baseline"].select("eid", "field", "i", "n", "value")
-    return Sources(**tables)
+    fixture_sources(spark, sf_dir).store(root)
+    return Sources.open(spark, root)
 
 
 def wide_from_lineitem(spark, sf_dir: str):

@@ -1,9 +1,9 @@
 """Reports on phenotypes, cohorts and columns (R1-R6), all as DataFrames.
 
 R6's percentiles are exact (numpy's linear interpolation) but never gather a column into one task:
-values are counted per distinct value, the distinct values are cut into value ranges with a size-bounded
-quantile sketch, ranks are running sums inside each range plus the (small) per-range offsets, and only
-the handful of rows that hold a requested rank come back to the driver.
+values are counted per distinct value, the distinct values are cut into value ranges (as many as their number
+asks for) with a quantile sketch, per-range counts tell which ranges hold a requested rank, only those are
+sorted, and only the handful of rows that hold a requested rank come back to the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ R6_PERCENTILES = (10, 20, 30, 40, 50, 60, 70, 80, 90)
 R6_COLUMNS = ("count_all", "count_missing", "count_invalid", "min", "max", "count_below_min", "count_above_max",
               *(f"decile_{p}" for p in R6_PERCENTILES), "median", "std", "IQR")
 ROUND_DIGITS = 6
+#: Distinct values in a range that one task of R6 sorts, about.
+RANGE_VALUES = 500_000
 
 
 # ----------------------------------------------------------------------------------------------
@@ -133,31 +135,39 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - d * (1 - t) if t >= 0.5 else a + d * t
 
 
-def exact_ranks(values: DataFrame, col: str, ranks: Iterable[int], n_ranges: int = 256) -> dict[int, float]:
+def exact_ranks(values: DataFrame, col: str, ranks: Iterable[int], range_values: int = RANGE_VALUES) -> dict[int, float]:
     """Value at each 0-based rank of the sorted (finite, non-NULL) column ``col``, computed distributed:
-    (1) count per distinct value, (2) cut the distinct values into ~``n_ranges`` ranges with an approximate
-    quantile sketch (bounded memory) and a JVM bucketizer, (3) running sums within each range plus
-    per-range offsets, (4) keep the rows whose rank interval holds a requested rank."""
+    (1) count per distinct value, (2) cut the distinct values into ranges of about ``range_values`` with an
+    approximate quantile sketch and a JVM bucketizer, (3) count each range, which tells the few ranges that
+    hold a requested rank, (4) sort only those and keep the rows whose rank interval holds such a rank."""
     from pyspark.ml.feature import Bucketizer
 
     ranks = sorted(set(int(r) for r in ranks))
     if not ranks:
         return {}
-    vc = values.groupBy(F.col(col).alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    cuts = vc.approxQuantile("x", [i / n_ranges for i in range(1, n_ranges)], 0.001)
+    vc = values.groupBy(F.col(col).alias("x")).agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    n_ranges = max(1, math.ceil(vc.count() / range_values))
+    cuts = vc.approxQuantile("x", [i / n_ranges for i in range(1, n_ranges)], 0.25 / n_ranges) if n_ranges > 1 else []
     splits = [-math.inf] + sorted(set(c for c in cuts if c is not None and math.isfinite(c))) + [math.inf]
+    if len(splits) == 2:
+        splits.insert(1, 0.0)  # a bucketizer needs two ranges
     b = Bucketizer(splits=splits, inputCol="x", outputCol="r").transform(vc)
+    before, offsets = 0, {}
+    for r in sorted(b.groupBy("r").agg(F.sum("c").alias("t")).collect(), key=lambda r: r.r):  # one row a range
+        if any(before <= k < before + r.t for k in ranks):
+            offsets[float(r.r)] = before
+        before += r.t
+    if not offsets:
+        return {}
+    offset = F.create_map(*[F.lit(v) for kv in offsets.items() for v in kv])[F.col("r")]
     w = Window.partitionBy("r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = b.withColumn("cum", F.sum("c").over(w))
-    totals = ranked.groupBy("r").agg(F.max("cum").alias("t"))
-    offsets = totals.withColumn(
-        "off", F.sum("t").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)))  # <= n_ranges rows
-    ranked = ranked.join(F.broadcast(offsets.select("r", F.coalesce("off", F.lit(0)).alias("off"))), "r")
-    start = F.col("off") + F.col("cum") - F.col("c")
-    end = F.col("off") + F.col("cum")
+    ranked = b.where(F.col("r").isin(*offsets)).withColumn("end", offset + F.sum("c").over(w))
+    start = F.col("end") - F.col("c")
     hits = ranked.select("x", F.explode(F.filter(F.array(*[F.lit(r) for r in ranks]),
-                                                 lambda k: (k >= start) & (k < end))).alias("k"))
-    return {int(r.k): float(r.x) for r in hits.collect()}  # at most len(ranks) rows
+                                                 lambda k: (k >= start) & (k < F.col("end")))).alias("k"))
+    found = {int(r.k): float(r.x) for r in hits.collect()}  # at most len(ranks) rows
+    vc.unpersist()
+    return found
 
 
 def describe_values(df: DataFrame, col: str, minimum: float | None = None, maximum: float | None = None) -> DataFrame:

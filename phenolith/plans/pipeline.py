@@ -44,6 +44,11 @@ class Study:
         matches = K.match_table(codes).cache()  # bounded by the definition corpus
         return cls(spark, sources, catalogue, codes, matches)
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, definitions: str = K.DEFAULT_DEFINITIONS) -> "Study":
+        """A study over the tables that a load (``records.load_files``) stored below ``root``."""
+        return cls.load(spark, Sources.open(spark, root), definitions)
+
     @classmethod
     def fixture(cls, spark: SparkSession, sf_dir: str, definitions: str = K.DEFAULT_DEFINITIONS) -> "Study":
         return cls.load(spark, fixture_sources(spark, sf_dir), definitions)

@@ -305,6 +305,13 @@ def x20_drug_word(spark, sf_dir):
 _EVENTS_CTE = {"phenotypes": _ev()}
 
 
+def _stored_cohort(study: Study) -> DataFrame:
+    """The cohort table, computed once and read back: for queries that use it more than once."""
+    path = scratch_path(study.spark, "baseline_cohort")
+    study.cohort().write.parquet(path)
+    return study.spark.read.parquet(path)
+
+
 def _store(spark, sf_dir) -> EventStore:
     """All events, extracted into a store of their own."""
     store = EventStore(spark, scratch_path(spark, "phenotypes"))
@@ -390,7 +397,7 @@ def f2_source_labels_compat(spark, sf_dir):
     _FIRST_CTES_F))
 def f3_clamped_to_birth(spark, sf_dir):
     s = _study(spark, sf_dir)
-    cohort = s.cohort()
+    cohort = _stored_cohort(s)
     first = s.first_events(cohort=cohort)
     return first.join(cohort.select("eid", "dob"), "eid").where(F.col("eventdate") == F.col("dob")).drop("dob")
 
@@ -445,14 +452,14 @@ def _f10_sql(basic: bool) -> str:
 @register("f10_cohort_first_events", O.with_views(_f10_sql(False), _FIRST_CTES_F))
 def f10_cohort_first_events(spark, sf_dir):
     s = _study(spark, sf_dir)
-    cohort = s.cohort()
+    cohort = _stored_cohort(s)
     return CO.cohort_phenotype_first(cohort, s.first_events(cohort=cohort))
 
 
 @register("f10_cohort_first_events_basic", O.with_views(_f10_sql(True), _FIRST_CTES_F))
 def f10_cohort_first_events_basic(spark, sf_dir):
     s = _study(spark, sf_dir)
-    cohort = s.cohort()
+    cohort = _stored_cohort(s)
     return CO.cohort_phenotype_first(cohort, s.first_events(cohort=cohort), basic=True)
 
 
@@ -500,7 +507,7 @@ def d3_baseline_date(spark, sf_dir):
     "f.eventdate) AS INTEGER) AS time_since_baseline FROM (" + _F11_SQL + ") f JOIN baseline_cohort c ON c.eid = f.eid", _FIRST_CTES_F))
 def d4_time_since_baseline(spark, sf_dir):
     s = _study(spark, sf_dir)
-    cohort = s.cohort()
+    cohort = _stored_cohort(s)
     return D.time_since_baseline(EV.phenotype_first(s.first_events(cohort=cohort)), cohort)
 
 
@@ -524,9 +531,8 @@ def d6_date_of_birth(spark, sf_dir):
     f"(SELECT count(DISTINCT eid) FROM phenotype_first WHERE phenotype = '{PHENOTYPE}') AS n_phenotype_first",
     _FIRST_CTES_F))
 def r1_count_people(spark, sf_dir):
-    s = _study(spark, sf_dir)
-    ev = s.events()
-    return R.count_people(ev, s.first_events(events=ev), PHENOTYPE)
+    events = _store(spark, sf_dir).read()
+    return R.count_people(events, _study(spark, sf_dir).first_events(events=events), PHENOTYPE)
 
 
 @register("r2_report_by_field", O.with_views(
@@ -601,7 +607,7 @@ def _r5_sql() -> str:
 
 @register("r5_table_one", _r5_sql())
 def r5_table_one(spark, sf_dir):
-    return R.table_one(R.recode_cohort(_study(spark, sf_dir).cohort()))
+    return R.table_one(R.recode_cohort(_stored_cohort(_study(spark, sf_dir))))
 
 
 def _r6_sql() -> str:

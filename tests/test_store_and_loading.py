@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import time
 
 import numpy as np
 import pytest
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from phenolith.operators import describe as R
 from phenolith.plans.pipeline import Study, extract_phenotypes
 from phenolith.session import scratch_path
+from phenolith.schemas import RECORD_COLUMNS
 from phenolith.sources import records as L
+from phenolith.sources import views
 from phenolith.sources.store import EventStore
 from conftest import SF_SMALL, d
 
@@ -163,10 +166,56 @@ def test_describe_values_nothing_left(spark):
 def test_exact_ranks_property(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     ranks = list(range(len(xs)))
-    got = R.exact_ranks(df, "x", ranks, n_ranges=4)
+    got = R.exact_ranks(df, "x", ranks, range_values=4)
     assert [got[k] for k in ranks] == sorted(float(x) for x in xs)
 
 
+def test_exact_ranks_over_many_ranges(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).cast("double").alias("x"))
+    ranks = [0, 1, 749, 1500, 2998, 2999]
+    assert R.exact_ranks(df, "x", ranks, range_values=8) == {k: float(k) for k in ranks}
+
+
+def test_wide_file_of_9000_columns(spark, tmp_path):
+    names = [f"{100 + k}-{k % 3}.{k % 5}" for k in range(9000)]
+    path = tmp_path / "wide.csv"
+    path.write_text(",".join(["eid", *names]) + "\n" + "\n".join(
+        ",".join([str(e), *(f"{e}x{k}" if k % 90 == e else "" for k in range(9000))]) for e in range(1, 4)) + "\n")
+    began = time.perf_counter()
+    long = L.wide_to_long(L.read_wide_csv(spark, str(path)))
+    assert time.perf_counter() - began < 10
+    got = {tuple(r) for r in long.collect()}
+    assert got == {(e, 100 + k, k % 3, k % 5, f"{e}x{k}") for e in range(1, 4) for k in range(9000) if k % 90 == e}
+
+
+def test_load_files_then_open(spark, study, all_events, tmp_path):
+    root, src = str(tmp_path), study.sources
+    raw = views.raw_views(spark, SF_SMALL)
+    wide = src.baseline.groupBy("eid").pivot("field").agg(F.min("value"))
+    wide.write.option("header", True).csv(f"{root}/wide")
+    files = {}
+    for name in src.as_dict():
+        if name == "baseline":
+            continue
+        files[name] = f"{root}/{name}_file"
+        df = raw[f"raw_{name}"]
+        if name == "gp_clinical":
+            df = df.select(*RECORD_COLUMNS[name])
+        L.write_record_tsv(df.withColumn("dsource", F.lit("X")), files[name])
+    loaded = L.load_files(spark, f"{root}/wide", files, f"{root}/tables")
+    assert "dsource" in loaded.hesin.columns
+    again = Study.open(spark, f"{root}/tables").sources
+    for name in ("hesin_diag", "death", "gp_clinical", "gp_registrations"):
+        columns = [c for c in src.as_dict()[name].columns]
+        assert sorted(map(str, again.as_dict()[name].select(*columns).collect())) == sorted(map(str, src.as_dict()[name].collect()))
+    assert "Join" not in again.gp_clinical._jdf.queryExecution().executedPlan().toString()
+    records = [r for r in all_events if r[2] in (41202, 41204, 41200, 41210, 40001, 40002, 42040)]
+    got = Study.open(spark, f"{root}/tables").events().where(F.col("field_id").isin(41202, 41204, 41200, 41210, 40001, 40002, 42040))
+    assert sorted(tuple(r) for r in got.collect()) == records
+    with pytest.raises(ValueError, match="no file for death"):
+        L.load_files(spark, f"{root}/wide", {k: v for k, v in files.items() if k != "death"}, f"{root}/other")
+
+
 def test_build_tables_stage_by_stage(spark, study):
     from phenolith.operators import cohort as CO
     from phenolith.plans.pipeline import build_tables
