@@ -172,7 +172,9 @@ def label_counts(page: str) -> Counter:
 def learn(pages: DataFrame, sample_pages: int = 2000, page_id: str = "page_id", text: str = "html") -> Weights:
     pages = pick(pages, page_id=page_id, html=text)
     labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    sample = labelled.orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    # only ids are sorted; the pages themselves are read again where they are
+    chosen = labelled.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    sample = labelled.join(F.broadcast(chosen), "page_id", "left_semi")
 
     def count(batches):
         total: Counter = Counter()
