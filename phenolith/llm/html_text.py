@@ -4,10 +4,12 @@ A page is read as a sequence of tags and runs of words. Words score positive whe
 element that holds content, nothing where it holds boilerplate; tags score negative. One linear scan finds the
 contiguous stretch with the largest sum, and its content words are the text.
 
-The scores come from labelled pages: pages with exactly one <article> or <main> label themselves, what stands in
-it (outside boilerplate elements) being content. Over a bounded sample (``sample_pages`` pages with the smallest
-hash of the id) words are counted by the kind of element around them and tags by name, inside and outside the
-content, and added to prior counts, which also score pages of kinds that no label shows. A kind is the name of
+The scores come from labelled pages: pages with exactly one <article> or <main>, if it holds at least half of the
+words outside boilerplate elements, label themselves, what stands in it (outside boilerplate elements) being content.
+Over a bounded sample (``sample_pages`` pages with the smallest hash of the id) words are counted by the kind of
+element around them and tags by name, inside and outside the content, and added to prior counts, which also score
+pages of kinds that no label shows. Words beside the article of a labelled page are no content there, but say nothing
+of other pages, so they count for boilerplate kinds only: all other kinds score above 0. A kind is the name of
 the nearest telling element (nav, article, aside, ... or one whose class, id or role has a telling word).
 
 Character references are decoded, white space within a block is one space, blocks are joined by an empty line.
@@ -149,32 +151,42 @@ _PRIOR_TAGS = {name: (20, 2) for name in ("p", "b", "i", "em", "strong", "br", "
 _PRIOR_TAGS |= {name: (2, 5) for name in ("a", "li", "ul", "div", "td", "tr", "img", "input")}
 
 
-def label_counts(page: str) -> Counter:
-    """(what, name, in content) counts of a page that labels itself; nothing of others."""
-    read = list(tokens(page))
+def labelled(read: list, page: str) -> list[bool] | None:
+    """For each token whether it stands in the page's content; None if the page does not label itself."""
     opened = Counter(name for name, *_ in read if name in ("article", "main"))
     best = "article" if opened["article"] else "main"
     if opened[best] != 2 and not (opened[best] == 1 and f"</{best}" not in page.lower()):
-        return Counter()
-    out: Counter = Counter()
-    inside = False
+        return None
+    out, inside, words = [], False, [0, 0]
     for name, kind, text, _ in read:
         if name == best:
             inside = not inside
-            out["tag", name, False] += 1
-        elif name is not None:
-            out["tag", name, inside and not is_boilerplate(kind)] += 1
-        elif n := len(text.split()):
-            out["word", kind, inside and not is_boilerplate(kind)] += n
+        content = inside and name != best and not is_boilerplate(kind)
+        if name is None and not is_boilerplate(kind):
+            words[content] += len(text.split())
+        out.append(content)
+    return out if words[True] >= words[False] else None
+
+
+def label_counts(page: str) -> Counter:
+    """(what, name, in content) counts of a page that labels itself; nothing of others."""
+    read = list(tokens(page))
+    content = labelled(read, page)
+    out: Counter = Counter()
+    for (name, kind, text, _), own in zip(read, content or ()):
+        if name is not None:
+            out["tag", name, own] += 1
+        elif (own or is_boilerplate(kind)) and (n := len(text.split())):
+            out["word", kind, own] += n
     return out
 
 
 def learn(pages: DataFrame, sample_pages: int = 2000, page_id: str = "page_id", text: str = "html") -> Weights:
     pages = pick(pages, page_id=page_id, html=text)
-    labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    candidates = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
     # only ids are sorted; the pages themselves are read again where they are
-    chosen = labelled.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    sample = labelled.join(F.broadcast(chosen), "page_id", "left_semi")
+    chosen = candidates.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    sample = candidates.join(F.broadcast(chosen), "page_id", "left_semi")
 
     def count(batches):
         total: Counter = Counter()
@@ -212,7 +224,9 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: Weights) -> str:
     read = list(tokens(page))
-    counts = [0 if name else len(text.split()) for name, _, text, _ in read]
+    # beside the content of a labelled page words score nothing
+    content = labelled(read, page) or [True] * len(read)
+    counts = [len(text.split()) if name is None and own else 0 for (name, _, text, _), own in zip(read, content)]
     scores = [weights.tag(name, kind) if name else n * max(0.0, weights.word(kind)) for (name, kind, _, _), n in zip(read, counts)]
     start, stop = best_region(scores)
     blocks, current = [], []

@@ -348,6 +348,25 @@ def test_main_text(spark, no_docs):
     assert html_text.extract(pages.limit(0), html_text.learn(pages.limit(0))).count() == 0
 
 
+def test_plain_pages_beside_labelled_ones(spark):
+    """Words beside an article do not empty pages whose text stands in the same kinds of elements."""
+    words = " ".join(f"word{i}" for i in range(40))
+    byline = "<div>By A Writer on some day of May</div><p>back to top</p>"
+    articles = [f"<body>{byline}<article><h1>Head {i}</h1><p>{words}</p></article>{byline}</body>" for i in range(6)]
+    articles += [f"<body><main><div class=content>{byline}<article><p>{words}</p></article>{byline}</div>{byline}<figure>A view</figure></main></body>"] * 6
+    plain = [f"<body><div>{words}</div><div><p>{words} end</p></div></body>", f"<table><tr><td>{words}</td></tr></table>",
+             f"<div class=content><p>{words}</p></div>", f"<section class=content>{words}</section>", f"<figure>{words}</figure>",
+             f"<body><main><p>{words}</p></main></body>", f"<article><div class=content><p>{words}</p></div></article>",
+             f"<article>Card</article><div>{words}</div>", f"<main></main><div>{words}</div>"]
+    pages = spark.createDataFrame([(i, "u", x) for i, x in enumerate(articles + plain)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages, html_text.learn(pages)).collect()}
+    assert [got[i] for i in range(6)] == [f"Head {i}\n\n{words}" for i in range(6)]
+    assert [got[i] for i in range(6, 12)] == [words] * 6
+    assert got[12] == f"{words}\n\n{words} end"
+    assert [got[i] for i in range(13, 19)] == [words] * 6
+    assert got[19].endswith(words) and got[20] == words
+
+
 def test_regions():
     rng = np.random.default_rng(4)
     for _ in range(200):
