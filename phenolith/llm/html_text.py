@@ -2,7 +2,9 @@
 
 A page is read as a sequence of tags and runs of words. Words score positive where they stand in a kind of
 element that holds content, nothing where it holds boilerplate; tags score negative. One linear scan finds the
-contiguous stretch with the largest sum, and its content words are the text.
+contiguous stretch with the largest sum, and its content words are the text. Tags in <article> or <main>, in
+boilerplate elements and of elements that are not read (scripts, ...) score nothing: what stands there is known to be
+content or is left out anyway.
 
 The scores come from labelled pages: pages with exactly one <article> or <main>, if it holds at least half of the
 words outside boilerplate elements, label themselves, what stands in it (outside boilerplate elements) being content.
@@ -141,8 +143,10 @@ class Weights:
         return self.words.get(kind, self.other)
 
     def tag(self, name: str, kind: str) -> float:
-        """Within kinds that are all content a tag says little."""
-        return -0.1 if self.word(kind) > 2.5 else self.tags.get(name, self.other_tag)
+        """Within kinds that are all content, within boilerplate and where nothing is read a tag says nothing."""
+        if name in RAW or is_boilerplate(kind) or self.word(kind) > 2.5:
+            return 0.0
+        return self.tags.get(name, self.other_tag)
 
 
 # Prior counts (content, other) of words by kind and of tags by name.
@@ -175,7 +179,9 @@ def label_counts(page: str) -> Counter:
     out: Counter = Counter()
     for (name, kind, text, _), own in zip(read, content or ()):
         if name is not None:
-            out["tag", name, own] += 1
+            # what makes an element boilerplate is its kind, and tags beside the content say nothing of other pages
+            if own or (is_boilerplate(kind) and kind.partition(".")[0] != name):
+                out["tag", name, own] += 1
         elif (own or is_boilerplate(kind)) and (n := len(text.split())):
             out["word", kind, own] += n
     return out
@@ -207,7 +213,7 @@ def learn(pages: DataFrame, sample_pages: int = 2000, page_id: str = "page_id",
         (words if r.what == "word" else tags).setdefault(r.name, [1, 1])[not r.inside] += r.n
     score = lambda pair: math.log(pair[0] / pair[1])
     return Weights({k: max(-4.0, min(4.0, score(v))) for k, v in words.items()},
-                   {k: min(-0.1, max(-4.0, score(v) - 4.0)) for k, v in tags.items()})
+                   {k: min(-0.1, max(-4.0, score(v))) for k, v in tags.items()})
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:

@@ -367,6 +367,27 @@ def test_plain_pages_beside_labelled_ones(spark):
     assert got[19].endswith(words) and got[20] == words
 
 
+def test_text_beside_boilerplate_within_the_content(spark):
+    """A title, a lead and a short last paragraph stay, whatever stands between them and the body."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = html_text.learn(pages)
+    body = " ".join(f"word{i}" for i in range(60))
+    items = "".join(f"<div><li><a href='/{i}'>item {i}</a></li></div>" for i in range(40))
+    boxes = [f"<nav class=toc><ul>{items}</ul></nav>", f"<aside><ul>{items}</ul></aside>", f"<div class=share><ul>{items}</ul></div>",
+             f"<div class=related><div><ul>{items}</ul></div></div><script>ad()</script>"]
+    empty = "<div><span><img src=a></span></div>" * 60
+    for box in boxes:
+        inner = f"<h1>A title of five words</h1>{box}<p>{body}</p>{box}<p>The last words follow here</p>"
+        text = f"A title of five words\n\n{body}\n\nThe last words follow here"
+        for page in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div class=content>{inner}</div>", inner):
+            assert html_text.main_text(page, weights) == text
+        assert html_text.main_text(f"<article>{inner.replace(box, empty)}</article>", weights) == text
+    lead = "A lead of words"
+    assert html_text.main_text(f"<div>{lead}</div><div>{body}</div><div>{lead}</div>", weights) == f"{lead}\n\n{body}\n\n{lead}"
+    # links without marks of their own still end the text
+    assert html_text.main_text(f"<div><ul>{items}</ul></div><div>{body}</div><div><ul>{items}</ul></div>", weights) == body
+
+
 def test_regions():
     rng = np.random.default_rng(4)
     for _ in range(200):
