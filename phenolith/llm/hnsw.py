@@ -26,8 +26,8 @@ from phenolith.llm.common import materialise, pick
 
 #: Neighbours of a node on upper levels (twice as many on the lowest), and widths of the beams.
 LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 96, 160
-#: Vectors in a shard, and queries in a block, at most about.
-SHARD_ROWS, BLOCK_ROWS, LEAST_SHARDS = 250_000, 1024, 8
+#: Vectors in a shard, and queries in a block, at most about. Recall falls with the size of a shard.
+SHARD_ROWS, BLOCK_ROWS, LEAST_SHARDS = 20_000, 1024, 8
 
 
 def _beam(table: np.ndarray, points: np.ndarray, norms: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int,

@@ -330,6 +330,17 @@ def test_nearest_neighbours(spark):
     assert hnsw.nearest(table.limit(0), vector="embedding").count() == 0
 
 
+def test_recall_of_a_shard_of_the_largest_size(spark):
+    rows = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").where("size(embedding) = 64").select("embedding").distinct()
+    vectors = np.array(sorted(r.embedding for r in rows.collect()), np.float32)
+    rng = np.random.default_rng(1)
+    vectors = vectors[rng.permutation(len(vectors))[: hnsw.SHARD_ROWS]]
+    asked = vectors[:200]
+    found, _ = hnsw.search(vectors, hnsw.build(vectors), asked, 21)
+    best = np.argsort(-asked @ vectors.T, axis=1, kind="stable")[:, :21]
+    assert np.mean([len(set(a) & set(b)) / 21 for a, b in zip(found, best)]) >= 0.93
+
+
 PAGE = """<html><head><title>T words</title><style>p{}</style></head><body><header>Site name</header><nav><ul><li><a href="/">one two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies</div><article><h1>Head&amp;line</h1><p>First  <b>bold</b>&nbsp;text<br>line<p>Second<aside>side words</aside>
 <p class="share">share me</p><script>var t="</p>";</script><ul><li>item <i>a</i></li></ul><form><input>send</form></article>
