@@ -115,15 +115,17 @@ def swapped_answers(turns: DataFrame) -> DataFrame:
     next conversation that has one (by conv_id; after the last: the first). Takes and returns numbered turns
     with a numeric conv_id; conversations without an assistant turn are left out."""
     answers = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("position", "text")).alias("a"))
-    answers = materialise(answers.select("conv_id", "a.*", F.floor(F.col("conv_id") / RUN).alias("run")), "answers")
-    in_run = F.lead("text").over(W.partitionBy("run").orderBy("conv_id"))
-    last = F.col("conv_id") == F.max("conv_id").over(W.partitionBy("run"))
-    following = answers.select("conv_id", "run", F.col("position").alias("at"), in_run.alias("answer"), last.alias("last"))
-    # the last of a run of ids goes on in the next run that has any: one row for each run
-    firsts = answers.groupBy("run").agg(F.min(F.struct("conv_id", "text")).alias("f")).select("run", F.col("f.text").alias("opening"))
-    after = firsts.select("run", F.coalesce(
-        F.lead("opening").over(W.orderBy("run")), F.first("opening").over(W.orderBy("run"))).alias("opening"))
-    following = following.join(after, "run").select(
+    ordered = answers.select("conv_id", "a.*").repartitionByRange("conv_id")
+    answers = materialise(ordered.withColumn("part", F.spark_partition_id()), "answers")
+    in_part = W.partitionBy("part").orderBy("conv_id")
+    following = answers.select("conv_id", "part", F.col("position").alias("at"), F.lead("text").over(in_part).alias("answer"),
+                               F.lead("conv_id").over(in_part).isNull().alias("last"))
+    # the last of a range of ids goes on in the next range that has any: one number for each range in one task
+    firsts = answers.groupBy("part").agg(F.min(F.struct("conv_id", "text")).alias("f")).select(
+        F.col("part").alias("to"), F.col("f.text").alias("opening"))
+    after = answers.select("part").distinct().select("part", F.coalesce(
+        F.lead("part").over(W.orderBy("part")), F.first("part").over(W.orderBy("part"))).alias("to")).join(firsts, "to")
+    following = following.join(after, "part").select(
         "conv_id", "at", F.when(F.col("last"), F.col("opening")).otherwise(F.col("answer")).alias("answer"))
     swapped = F.col("position") == F.col("at")
     return turns.join(following, "conv_id").select(

@@ -426,6 +426,26 @@ def test_preference_pairs(spark):
     assert chat.preference_digest(table.limit(0)).count() == 0
 
 
+def test_swapped_answers_of_sparse_ids_take_few_groups(spark, monkeypatch):
+    """The answers are gathered by range of conv_id, however far apart the ids are."""
+    kept = {}
+    monkeypatch.setattr(chat, "materialise", lambda df, name, real=chat.materialise: kept.setdefault(name, real(df, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ids = [(i - 30) * 10**12 for i in range(60)]
+    turns = [(c, t, role, f"{role} {c}") for c in ids for t, role in enumerate(("user", "assistant", "user"))] + [(5, 0, "user", "alone")]
+    try:
+        out = chat.swapped_answers(spark.createDataFrame(turns, "conv_id long, position long, role string, text string")).collect()
+        answers = kept["answers"]
+        groups = answers.select(({"run", "part"} & set(answers.columns)).pop()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = [(c, t, role, f"{role} {ids[(k + 1) % 60] if t == 1 else c}") for k, c in enumerate(ids)
+                for t, role in enumerate(("user", "assistant", "user"))]
+    assert sorted(map(tuple, out)) == sorted(expected)
+    assert 1 < groups <= 8
+    assert chat.swapped_answers(spark.createDataFrame(turns[-1:], "conv_id long, position long, role string, text string")).count() == 0
+
+
 def test_long_conversation_is_numbered_in_runs(spark, monkeypatch):
     monkeypatch.setattr(chat, "RUN", 4)
     turns = [(c, t, "user", f"{t}" if t < 11 else f"{c} {t}") for c in (1, 2) for t in range(15)]
