@@ -79,6 +79,12 @@ def _serialized(path: str, end_id: int, id_bytes: int):
     return rows
 
 
+def _window(raw: bytes, size: int, step: int) -> bytes:
+    """``size`` bytes at a whole id chosen by the array's hash, so that no part of long arrays is preferred."""
+    at = zlib.crc32(raw) % ((len(raw) - size) // step + 1) * step if len(raw) > size else 0
+    return raw[at : at + size]
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int, sample_docs: int = 512,
                      sample_bytes: int = 16_384, dict_bytes: int = 65_536) -> tuple[bytes, str]:
     """The dictionary's bytes and kind (trained; raw where the sample is too small to train on; none)."""
@@ -86,7 +92,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int
 
     def sample(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"frame": [x[:sample_bytes] for _, _, x in serialize(batch)]})
+            yield pa.RecordBatch.from_pydict({"frame": [_window(x, sample_bytes, id_bytes) for _, _, x in serialize(batch)]})
 
     chosen = docs.where(F.col("text") != "").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     got = sorted(bytes(r.frame) for r in chosen.mapInArrow(sample, "frame binary").collect())

@@ -75,6 +75,16 @@ def test_token_files_round_trip(spark, which, request, tokenizer):
         assert whole == ids
 
 
+def test_dictionary_is_not_trained_on_heads_only(spark, tokenizer):
+    rng = np.random.default_rng(6)
+    heads, tails = "alpha beta gamma delta house water light stone".split(), "winter summer music paper green river table horse".split()
+    rows = [(i, " ".join([*rng.choice(heads, 10_000), *rng.choice(tails, 30_000)])) for i in range(40)]
+    content, kind = token_files.train_dictionary(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, 1, 2)
+    ids = lambda words: set(tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids)
+    held = set(np.frombuffer(content[len(content) % 2 :], "<u2").tolist())
+    assert kind == "trained" and ids(tails) - ids(heads) <= held
+
+
 @pytest.mark.parametrize("which", ["docs", "edge_docs", "no_docs"])
 def test_packing(which, request, tokenizer):
     table = request.getfixturevalue(which)
