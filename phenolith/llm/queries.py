@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenolith.llm import chat, fingerprints, hnsw, html_text, mixing, near_dup, packing, quality, repeats, token_files
+from phenolith.llm import (
+    align, chat, fingerprints, hnsw, html_text, mixing, near_dup, packing, periodic, quality, repeats, simhash, token_files)
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
+#: Tokenizers A and B of op11.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +57,23 @@ def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment_digest(read_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
+def op12_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_quality_classifier, op3_nearest_neighbours, op4_token_files, op5_main_text,
-        op6_preference_pairs, op7_near_duplicates, op8_repeated_strings, op9_fingerprints, op10_entropy_balancing)
+        op6_preference_pairs, op7_near_duplicates, op8_repeated_strings, op9_fingerprints, op10_entropy_balancing,
+        op11_token_alignment, op12_simhash_groups, op13_periodic_runs)
 }
 
 ORACLES: dict[str, str] = {}
