@@ -9,7 +9,9 @@ shingles, repeats included. Fingerprints link at ``MOST`` (4) or fewer differing
    error; or (c) exactly one error in each. Two 16-bit words that differ in one bit have different parity and share a
    Golay codeword: the one of even parity gives the numbers of all codewords within 4 bits of it (1 or 6), the odd one
    that of its nearest. So (a) has 6 keys of 2 segments; (b) keys of a segment and a codeword, over 8 choices; (c) keys of
-   three codewords: about 62 keys, and linked fingerprints share at least one (``tests/llm`` tries all patterns of errors).
+   three codewords and of which segments' parities equal the first one's (one error in each turns all four): about 62 keys,
+   and linked fingerprints share at least one (``tests/llm`` tries all patterns of errors). As a codeword key joins an even
+   with an odd segment, keys whose fingerprints are all of one parity there are dropped.
 3. Within each key every vertex is compared with one hub, the fingerprint with most copies; links form components.
 4. Keys that still hold more than one component are not done. Their vertices outside the key's largest component are
    compared with all others whose component differs, block against block of bounded size, on the full fingerprints; a
@@ -44,6 +46,8 @@ MOST = 4
 BLOCK = 1024
 #: Shingles counted at once.
 CHUNK = 1 << 16
+#: Fingerprints whose keys are made at once.
+KEYED = 2000
 
 
 def shingle_hashes(raw: bytes, k: int) -> np.ndarray:
@@ -80,46 +84,50 @@ def fingerprints(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, fp long")
 
 
-def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in ``fps``, key) of every key of every fingerprint (uint64 each)."""
+def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in ``fps``, key, side) of every key of every fingerprint (uint64 each). Fingerprints that link meet in a key with
+    different sides (0 and 1), or in one that has no sides (2 for all)."""
     near, counts = within_four()
     segment = [(fps >> np.uint64(16 * i) & np.uint64(0xFFFF)).astype(np.int64) for i in range(4)]
-    places, keys = [], []
+    parity = [np.bitwise_count(x).astype(np.int64) % 2 for x in segment]
+    places, keys, sides = [], [], []
 
-    def give(kind: int, exact: list[int], fuzzy: list[int]) -> None:
-        place = np.arange(len(fps))
-        key = np.full(len(fps), kind, np.uint64)
+    def give(start: np.ndarray, exact: list[int], fuzzy: list[int]) -> None:
+        place, key = np.arange(len(fps)), start.astype(np.uint64)
         for i in exact:
             key = key << np.uint64(16) | segment[i].astype(np.uint64)
         for i in fuzzy:
-            own = segment[i][place]
-            many = np.where(np.bitwise_count(own) % 2 == 0, counts[own], 1)
+            many = np.where(parity[i][place] == 0, counts[segment[i][place]], 1)
             column = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-            place, key, own = np.repeat(place, many), np.repeat(key, many), np.repeat(own, many)
-            key = key << np.uint64(12) | near[own, column].astype(np.uint64)
+            place, key = np.repeat(place, many), np.repeat(key, many)
+            key = key << np.uint64(12) | near[segment[i][place], column].astype(np.uint64)
         places.append(place)
         keys.append(key)
+        sides.append(parity[fuzzy[0]][place] if fuzzy else np.full(len(place), 2))
 
-    kinds = itertools.count(1)
+    kind = itertools.count(1)
     for pair in itertools.combinations(range(4), 2):
-        give(next(kinds), list(pair), [])
+        give(np.full(len(fps), next(kind)), list(pair), [])
     for i in range(4):
         for j in [x for x in range(4) if x != i][:2]:
-            give(next(kinds), [i], [j])
-    give(next(kinds), [], [0, 1, 2])
-    return np.concatenate(places), np.concatenate(keys)
+            give(np.full(len(fps), next(kind)), [i], [j])
+    alike = sum((parity[i] ^ parity[0]) << (i - 1) for i in (1, 2, 3))
+    give(next(kind) << 3 | alike, [], [0, 1, 2])
+    return np.concatenate(places), np.concatenate(keys), np.concatenate(sides)
 
 
 def _keyed(vertices: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            place, key = fuzzy_keys(fps.astype(np.uint64))
-            copies = batch.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(fps[place]), pa.array(copies[place])],
-                                             names=["key", "fp", "copies"])
+            fps, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            for lo in range(0, len(fps), KEYED):
+                own = fps[lo : lo + KEYED]
+                place, key, side = fuzzy_keys(own.astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.astype(np.int64)), pa.array(own[place]), pa.array(copies[lo + place]), pa.array(side.astype(np.int8))],
+                    names=["key", "fp", "copies", "side"])
 
-    return vertices.select("fp", "copies").mapInArrow(run, "key long, fp long, copies long")
+    return vertices.select("fp", "copies").mapInArrow(run, "key long, fp long, copies long, side byte")
 
 
 def _united(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,14 +213,15 @@ def _between_components(members: DataFrame) -> DataFrame:
 
 def fingerprint_groups(vertices: DataFrame) -> DataFrame:
     """fp, component (a fingerprint of the same component) of every linked one of ``vertices`` (fp, copies; fp distinct)."""
-    entries = materialise(_keyed(vertices), "keys")
-    of_key = entries.groupBy("key").agg(F.count("*").alias("m"), F.max(F.struct("copies", "fp")).alias("x")).where("m > 1").select(
-        "key", "m", F.col("x.fp").alias("hub"))
-    shared = materialise(entries.select("key", "fp").join(of_key, "key"), "shared-keys")
-    links = shared.where((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= MOST))
+    entries = _keyed(vertices).repartition("key")  # the one shuffle of all keys: the counts and the join use it
+    counts = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("side").alias("lo"), F.max("side").alias("hi"))
+    useful = counts.where("m > 1 and (lo < hi or hi = 2)").select("key", "m")
+    shared = materialise(entries.select("key", "fp", "copies").join(useful, "key"), "shared-keys")
+    hubs = shared.groupBy("key").agg(F.max(F.struct("copies", "fp")).alias("x")).select("key", F.col("x.fp").alias("hub"))
+    links = shared.join(hubs, "key").where((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= MOST))
     links = materialise(links.select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct(), "hub-links")
     comp = components(links).select(F.col("vertex").alias("fp"), "component")
-    labelled = materialise(shared.drop("hub").join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
+    labelled = materialise(shared.drop("copies").join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     more = materialise(_between_components(labelled.join(mixed, "key")).distinct(), "more-links")
     if more.isEmpty():
