@@ -33,7 +33,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phenolith.llm.common import materialise, pick
@@ -213,15 +213,17 @@ def _between_components(members: DataFrame) -> DataFrame:
 
 def fingerprint_groups(vertices: DataFrame) -> DataFrame:
     """fp, component (a fingerprint of the same component) of every linked one of ``vertices`` (fp, copies; fp distinct)."""
-    entries = _keyed(vertices).repartition("key")  # the one shuffle of all keys: the counts and the join use it
-    counts = entries.groupBy("key").agg(F.count("*").alias("m"), F.min("side").alias("lo"), F.max("side").alias("hi"))
-    useful = counts.where("m > 1 and (lo < hi or hi = 2)").select("key", "m")
-    shared = materialise(entries.select("key", "fp", "copies").join(useful, "key"), "shared-keys")
-    hubs = shared.groupBy("key").agg(F.max(F.struct("copies", "fp")).alias("x")).select("key", F.col("x.fp").alias("hub"))
-    links = shared.join(hubs, "key").where((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= MOST))
+    # one shuffle of all keys: a window counts each key's rows, sees whether its sides meet and finds its hub. A fingerprint
+    # has about 62 keys, so that even a key that all of them share is a small part of the rows
+    key = Window.partitionBy("key")
+    found = _keyed(vertices).select(
+        "key", "fp", F.count("*").over(key).alias("m"), F.min("side").over(key).alias("lo"), F.max("side").over(key).alias("hi"),
+        F.max(F.struct("copies", "fp")).over(key).alias("x"))
+    shared = materialise(found.where("m > 1 and (lo < hi or hi = 2)").select("key", "fp", "m", F.col("x.fp").alias("hub")), "shared-keys")
+    links = shared.where((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= MOST))
     links = materialise(links.select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct(), "hub-links")
     comp = components(links).select(F.col("vertex").alias("fp"), "component")
-    labelled = materialise(shared.drop("copies").join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
+    labelled = materialise(shared.drop("hub").join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     more = materialise(_between_components(labelled.join(mixed, "key")).distinct(), "more-links")
     if more.isEmpty():
