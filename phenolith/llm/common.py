@@ -9,7 +9,6 @@ import tempfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from phenolith.session import scratch_path
 
@@ -93,5 +92,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(n, t) for n, t in fields])
+def with_row_ids(docs: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with a long that tells its texts apart: the doc_id where all rows of it have one text, else (and for rows
+    without doc_id) a hash of doc_id and text. Rows with the same doc_id and text share it; null and empty texts are equal."""
+    own, content = F.col(f"`{doc_id}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    differ = docs.where(own.isNotNull()).groupBy(own.alias("__of")).agg(F.min(content).alias("lo"), F.max(content).alias("hi"))
+    differ = materialise(differ.where("lo < hi").select("__of"), "repeated-ids")
+    if differ.isEmpty():
+        return docs.withColumn(into, F.coalesce(own, content).cast("long"))
+    hashed = F.xxhash64(F.coalesce(own, F.lit(0)), content)
+    found = docs.join(differ, own == F.col("__of"), "left")
+    return found.withColumn(into, F.when(own.isNull(), content).when(F.col("__of").isNull(), own).otherwise(hashed).cast("long")).drop("__of")

@@ -78,7 +78,7 @@ def _rate(multiplier: Column, size: Column, mean: Column, limit: int) -> Column:
     return F.least(F.lit(limit * UNIT), F.round(F.exp(power) * UNIT)).cast("long")
 
 
-def multipliers(histogram: DataFrame, targets: DataFrame, limit: int = 3, most_rounds: int = 80) -> DataFrame:
+def multipliers(histogram: DataFrame, targets: DataFrame, limit: int = 3, most_rounds: int = 200) -> DataFrame:
     """source_key, multiplier, mean by safeguarded Newton iterations on the dual; ``histogram``: source_key,
     size, n. A source at its limit, or without words, is not here."""
     facts = histogram.where(F.col("size") > 0).groupBy("source_key").agg(
@@ -120,6 +120,8 @@ def multipliers(histogram: DataFrame, targets: DataFrame, limit: int = 3, most_r
             (F.col("near") | (F.col("hi") - F.col("lo") < 1e-12)).alias("done")), "multipliers")
         if state.where(~F.col("done")).isEmpty():
             break
+    else:
+        raise RuntimeError("the multipliers did not settle")
     return state.select("source_key", "multiplier", "mean")
 
 
@@ -170,9 +172,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = 3, t
                          (upto(1) - upto(0)).alias("copies"))
 
 
-def _settle(cells: DataFrame, limit: int, most_rounds: int = 12) -> DataFrame:
+def _settle(cells: DataFrame, limit: int, most_rounds: int = 1000) -> DataFrame:
     """Moves single copies, largest fitting size first, until a source is within 0.1% of its target or no
-    size can bring it nearer. Each round is one aggregation over the histogram."""
+    size can bring it nearer: every round brings a source nearer. Each is one aggregation over the histogram."""
     for _ in range(most_rounds):
         gap = cells.groupBy("source_key").agg(
             (F.first("target") - F.sum(F.col("total").cast(EXACT) * F.col("size")).cast("double")).alias("gap"),
@@ -187,6 +189,8 @@ def _settle(cells: DataFrame, limit: int, most_rounds: int = 12) -> DataFrame:
         cells = materialise(
             cells.join(chosen, ["source_key", "size"], "left")
             .withColumn("total", F.col("total") + F.coalesce(moved, F.lit(0)).cast("long")).drop("gap"), "cells")
+    else:
+        raise RuntimeError("the copies did not settle")
     return cells
 
 

@@ -13,8 +13,10 @@
    neighbourhood meets in one task.
 
 Words are runs of anything but ASCII white space, A-Z folded. With fewer than k words the whole sequence is
-one shingle; empty and null texts have no shingles and are linked with nothing. Rows that share a doc_id are
-one vertex; null ids are linked with nothing and get a null component; repeated rows each get their row.
+one shingle; empty and null texts have no shingles and are linked with nothing. Rows that share a
+doc_id and a text are one document; one doc_id on different texts is as many documents, each with its own set, links and
+component (whose name is the smallest doc_id among its documents). Null ids are linked with nothing and get a null
+component; repeated rows each get their row.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenolith.llm.common import materialise, mix64, pick
+from phenolith.llm.common import fresh, materialise, mix64, pick, with_row_ids
 from phenolith.llm.components import components
 from phenolith.llm.sketches import band_hashes, fast_similarity_sketch
 from phenolith.llm.words import shingles
@@ -51,25 +53,25 @@ def choose_bands(threshold: float, size: int = SKETCH) -> tuple[int, int]:
 
 
 def _sketched(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    schema = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary"
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    schema = "doc_id long, uid long, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches):
         for batch in batches:
             out = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, uid, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
                 own = shingles(text.as_buffer().to_pybytes() if text.is_valid else b"", k)
                 if not len(own):
-                    out.append((key, 0, None, None, None, None))
+                    out.append((key, uid, 0, None, None, None, None))
                     continue
                 spread = mix64(own)
                 sketch = fast_similarity_sketch(own, bands * rows)
-                out.append((key, len(own), int(own.sum().astype(np.int64)), int(spread.sum().astype(np.int64)),
+                out.append((key, uid, len(own), int(own.sum().astype(np.int64)), int(spread.sum().astype(np.int64)),
                             band_hashes(sketch, bands, rows).astype(np.int64), mix64(sketch).astype(np.uint32).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
-    names = ["doc_id", "n_shingles", "h1", "h2", "bands", "sketch"]
+    names = ["doc_id", "uid", "n_shingles", "h1", "h2", "bands", "sketch"]
     return docs.mapInArrow(run, schema)
 
 
@@ -184,12 +186,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, above: int = 80, below: int = 1
                     text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row; documents are
     linked if ``below`` * intersection >= ``above`` * union of their shingle sets."""
-    docs = pick(docs, doc_id=doc_id, text=text)
+    docs = with_row_ids(pick(docs, doc_id=doc_id, text=text), "uid")
+    return _groups(docs, k, above, below).select("doc_id", "n_shingles", "component_id")
+
+
+def _groups(docs: DataFrame, k: int, above: int, below: int) -> DataFrame:
+    """uid, doc_id, n_shingles, component_id of every row of (doc_id, text, uid)."""
     bands, rows = choose_bands(above / below)
     sketched = materialise(_sketched(docs, k, bands, rows), "sketches")
     vertices = materialise(
         sketched.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+            F.min("uid").alias("id"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch")), "vertices")
     spread = vertices.select("id", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
@@ -200,16 +207,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, above: int = 80, below: int = 1
         "bucket", (-F.col("x.x")).alias("hub")), "hubs")
     pairs = entries.join(hubs, "bucket").where("id != hub").select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct()
     # Spark broadcasts the ids if it finds them small, else it shuffles the texts once
-    sets = materialise(_sets(docs.join(met.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
+    sets = materialise(_sets(docs.join(met.select(F.col("id").alias("uid")), "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "text"), k), "sets")
     links = materialise(_verify(pairs, sets, above, below), "links")
     comp = materialise(components(links).select(F.col("vertex").alias("id"), "component"), "components")
     more = materialise(_rest(entries.select("bucket", "id"), hubs, comp, vertices, sets, above, below, bands * rows), "links")
     if not more.isEmpty():
         comp = materialise(components(links.unionByName(more)).select(F.col("vertex").alias("id"), "component"), "components")
-    named = vertices.select("h1", "h2", "id").join(comp, "id", "left").select(
-        "h1", "h2", F.coalesce("component", "id").alias("component"))
-    return sketched.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    least = vertices.select("id", "least").join(comp, "id").groupBy("component").agg(F.min("least").alias("name"))
+    comp = materialise(comp.join(least, "component").select("id", "name"), "names")
+    named = vertices.select("h1", "h2", "id", "least").join(comp, "id", "left").select(
+        "h1", "h2", F.coalesce("name", "least").alias("component"))
+    return sketched.select("uid", "doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left").select(
+        "uid", "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:
@@ -217,7 +226,11 @@ def near_duplicate_digest(docs: DataFrame) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without those whose group holds a smaller doc_id; rows with a null id stay."""
-    found = near_duplicates(docs, **options).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+def one_of_each(docs: DataFrame, k: int = 5, above: int = 80, below: int = 100) -> DataFrame:
+    """``docs`` without the documents whose group holds a smaller doc_id; rows with a null id stay, as do all rows of a group
+    that have its smallest doc_id."""
+    key = fresh(docs, "__uid")
+    keyed = with_row_ids(docs, key)
+    found = _groups(pick(keyed, doc_id="doc_id", text="text", uid=key), k, above, below)
+    gone = found.where("doc_id != component_id").select(F.col("uid").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

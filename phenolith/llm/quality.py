@@ -158,7 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = 1500, buck
     # two bounded top lists: at most 2 * sample_per_label rows
     chosen = [marked.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_label) for v in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])
-    texts = pick(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    # one row of each chosen id, however often it occurs: what is collected below is bounded by the sample
+    texts = pick(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text", "label")
 
     def features(batches):
         for batch in batches:

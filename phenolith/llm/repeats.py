@@ -22,8 +22,8 @@ in the same one. Strings are judged on the input; matches never cross documents.
    strings over all executors instead: exact too, and without a shard of unbounded size.
 5. The marked stretches are united per document.
 
-Null texts count as empty. Rows with one doc_id are taken for copies of one text (and repeat each other); rows
-without an id go by their text. Texts under ``min_bytes`` bytes lose nothing. An empty table gives no rows.
+Null texts count as empty. Every row is a text of its own: repeated rows repeat each other, and one doc_id on different
+texts, or no doc_id, makes no difference. Texts under ``min_bytes`` bytes lose nothing. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenolith.llm.common import fresh, materialise, mix64, pick
+from phenolith.llm.common import fresh, materialise, mix64, pick, with_row_ids
 
 GRAM = 40
 #: Windows handled at once; a longer text is taken in pieces that overlap by a window.
@@ -91,7 +91,7 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
-    """(hash, context hash, position, bytes of context left of it, bytes right of its end) of all anchors."""
+    """(hash, context hash, position, bytes of context left of it, bytes right of its end) of all anchors, by position."""
     gram, width = min(GRAM, min_bytes), min_bytes - min(GRAM, min_bytes) + 1
     out = []
     for at in range(0, max(1, len(raw) - min_bytes + 1), CHUNK):
@@ -103,7 +103,7 @@ def anchors(raw: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
         own = grams[shift : shift + windows + width - 1]
         tagged = (own & ~np.uint64((1 << 21) - 1)) | np.arange(len(own), dtype=np.uint64)
         least = _sliding_minimum(tagged, width)
-        found = (np.unique(least) & np.uint64((1 << 21) - 1)).astype(np.int64) + shift
+        found = np.sort(np.unique(least) & np.uint64((1 << 21) - 1)).astype(np.int64) + shift
         position = found + (at - shift)
         left = np.minimum(position, width - 1)
         right = np.minimum(len(raw) - position - gram, width - 1)
@@ -305,8 +305,7 @@ def _with_spans(docs: DataFrame, doc_id: str, text: str, min_bytes: int) -> Data
     """All columns of ``docs`` and, as the last one, the document's spans (null: loses nothing)."""
     pick(docs)
     key, gone = fresh(docs, "__uid"), fresh(docs, "__spans")
-    uid = F.coalesce(F.col(f"`{doc_id}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))).cast("long")
-    keyed = docs.withColumn(key, uid)
+    keyed = with_row_ids(docs, key, doc_id, text)
     spans = repeated_spans(keyed.select(F.col(key).alias("uid"), F.col(f"`{text}`").alias("text")), min_bytes)
     found = keyed.join(spans.select(F.col("uid").alias(key), F.col("spans").alias(gone)), key, "left")
     return found.select(*[F.col(f"`{c}`") for c in docs.columns], gone)

@@ -94,7 +94,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_bytes: int
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"frame": [_window(x, sample_bytes, id_bytes) for _, _, x in serialize(batch)]})
 
-    chosen = docs.where(F.col("text") != "").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    # ids alone are sorted; their texts (one of each id) are fetched afterwards
+    filled = docs.where(F.col("text") != "")
+    ids = filled.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(sample_docs)
+    chosen = filled.join(F.broadcast(ids.select("doc_id")), "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text")
     got = sorted(bytes(r.frame) for r in chosen.mapInArrow(sample, "frame binary").collect())
     if not got:
         return b"", "none"

@@ -34,6 +34,20 @@ def edge_docs(spark):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
+@pytest.fixture(scope="module")
+def same_ids(spark):
+    """One doc_id on different texts, on equal ones, and none."""
+    other = " ".join(f"thing{i}" for i in range(90))
+    texts = [(1, COPY), (1, other), (2, other + " more"), (3, COPY + " more"), (3, "short"), (4, other), (4, other), (5, None), (5, "x y z"), (None, COPY)]
+    return spark.createDataFrame([(i, t, "en", "s", 1, 0, "s", 1, "") for i, t in texts], SCHEMA).repartition(4)
+
+
+def test_one_of_each_keeps_other_texts_of_an_id(same_ids):
+    kept = collections.Counter((r.doc_id, (r.text or "")[:6]) for r in near_dup.one_of_each(same_ids).collect())
+    assert kept == {(1, "word0 "): 1, (1, "thing0"): 1, (3, "short"): 1, (5, ""): 1, (5, "x y z"): 1, (None, "word0 "): 1}
+    assert near_dup.one_of_each(same_ids).columns == same_ids.columns
+
+
 @pytest.fixture(scope="module")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
@@ -183,11 +197,11 @@ def word_sets(rows, k):
     return out
 
 
-@pytest.mark.parametrize("which,k,above", [("docs", 3, 85), ("edge_docs", 3, 85), ("edge_docs", 5, 80), ("no_docs", 5, 80)])
+@pytest.mark.parametrize("which,k,above", [("docs", 3, 85), ("edge_docs", 3, 85), ("edge_docs", 5, 80), ("same_ids", 3, 85), ("no_docs", 5, 80)])
 def test_near_duplicates(which, k, above, request):
     table = request.getfixturevalue(which)
     sets = word_sets(texts_of(table), k)
-    parent = {key: key for key, _ in sets}
+    parent = list(range(len(sets)))
 
     def root(x):
         while parent[x] != x:
@@ -195,12 +209,12 @@ def test_near_duplicates(which, k, above, request):
         return x
 
     for i, (a, s) in enumerate(sets):
-        for b, t in sets[:i]:
+        for j, (b, t) in enumerate(sets[:i]):
             if s and t and a is not None and b is not None and 100 * len(s & t) >= above * len(s | t):
-                x, y = root(a), root(b)
-                parent[max(x, y)] = min(x, y)
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)  # rows are in ascending order of doc_id
     got = collections.Counter(map(tuple, near_dup.near_duplicates(table, k, above, 100).collect()))
-    assert got == collections.Counter((a, len(s), root(a)) for a, s in sets)
+    assert got == collections.Counter((a, len(s), sets[root(i)][0]) for i, (a, s) in enumerate(sets))
 
 
 def test_blocks_find_links_that_hubs_miss(spark, monkeypatch):
@@ -249,7 +263,7 @@ def removed(rows, length=200):
     return out
 
 
-@pytest.mark.parametrize("which", ["docs", "edge_docs", "no_docs"])
+@pytest.mark.parametrize("which", ["docs", "edge_docs", "same_ids", "no_docs"])
 def test_repeated_strings(which, request):
     table = request.getfixturevalue(which)
     got = collections.Counter(map(tuple, repeats.repeat_digest(table).collect()))
@@ -341,10 +355,13 @@ def test_nearest_neighbours(spark):
 
 
 def test_recall_of_a_shard_of_the_largest_size(spark):
-    rows = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").where("size(embedding) = 64").select("embedding").distinct()
-    vectors = np.array(sorted(r.embedding for r in rows.collect()), np.float32)
+    """20,000 vectors: those of the largest test table, and copies of them with noise."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("size(embedding) = 64").select("embedding").distinct()
+    own = np.array(sorted(r.embedding for r in rows.collect()), np.float32)
     rng = np.random.default_rng(1)
-    vectors = vectors[rng.permutation(len(vectors))[: hnsw.SHARD_ROWS]]
+    more = own[rng.integers(0, len(own), hnsw.SHARD_ROWS - len(own))]
+    vectors = np.concatenate([own, more + rng.normal(0, 0.7 * own.std(), more.shape).astype(np.float32)])
+    vectors = vectors[rng.permutation(len(vectors))]
     asked = vectors[:200]
     found, _ = hnsw.search(vectors, hnsw.build(vectors), asked, 21)
     best = np.argsort(-asked @ vectors.T, axis=1, kind="stable")[:, :21]
