@@ -77,8 +77,6 @@ def test_catalogue_selections(cat):
     assert sorted(r.variable_name for r in K.phenotypes_by_category(cat, "Renal").collect()) == ["empty_gp", "renal_decline"]
     names = {r.variable_name for r in K.all_phenotypes(cat, include_cancer=False, include_neonatal=False).collect()}
     assert "bowel_tumour" not in names and "newborn_jaundice" not in names and "renal_decline" in names
-    with pytest.raises(NotImplementedError):
-        K.all_phenotypes(cat, include_elix=True)
     assert [r.variable_name for r in K.complex_phenotypes(cat).collect()] == ["composite_risk"]
 
 
