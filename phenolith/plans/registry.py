@@ -16,6 +16,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenolith import config as C
 from phenolith.operators import cohort as CO
 from phenolith.operators import dates as D
 from phenolith.operators import describe as R
@@ -25,6 +26,7 @@ from phenolith.plans import oracle as O
 from phenolith.plans.pipeline import Study, extract_phenotypes
 from phenolith.session import ensure_checkpoint_dir, scratch_path
 from phenolith.sources import records as L
+from phenolith.schemas import RECORD_COLUMNS
 from phenolith.sources import views
 from phenolith.sources.store import EventStore
 
@@ -50,7 +52,7 @@ def _study(spark: SparkSession, sf_dir: str) -> Study:
 def _matches_of(study: Study, qual_type: str | None = None, match: str | None = None):
     m = study.matches
     if qual_type is not None:
-        m = m.where((F.col("qual_type") == qual_type) & ~F.col("field_id").isin(*O.C.STANDARD_FIELDS))
+        m = m.where((F.col("qual_type") == qual_type) & ~F.col("field_id").isin(*C.STANDARD_FIELDS))
     if match is not None:
         m = m.where(F.col("match") == match)
     return m
@@ -96,6 +98,64 @@ def l3_load_hesin(spark, sf_dir):
     return L.read_record_tsv(spark, path, "hesin")
 
 
+#: Text that needs care in a delimited file, as SQL for Spark and DuckDB: quotes, separators, a backslash at the end, line breaks.
+def _odd_text(breaks: bool) -> str:
+    lines = "'two' || chr(10) || 'lines, ' || chr(34) || 'quoted' || chr(34)" if breaks else "' spaces '"
+    return ("CASE CAST(eid % 6 AS int) WHEN 0 THEN chr(34) || 'in quotes' || chr(34) || CAST(eid AS string) WHEN 1 THEN 'a' || chr(9) || 'tab, comma' "
+            f"WHEN 2 THEN 'back' || chr(92) WHEN 3 THEN {lines} WHEN 4 THEN '5' || chr(34) || ' bandage' END")
+
+
+_WIDE_ODD = f"SELECT *, {_odd_text(True)} AS note FROM raw_wide"
+_L1_CSV_SQL = (views.oracle_ctes(["raw_wide"]).rstrip() + f", odd AS ({_WIDE_ODD})\n" + "\nUNION ALL\n".join(
+    f"SELECT CAST(eid AS BIGINT) AS eid, {f} AS field, {i} AS i, {n} AS n, CAST({c} AS VARCHAR) AS value FROM odd WHERE {c} <> ''"
+    for c, (f, i, n) in [*((f'"{c}"', L.parse_field_name(c)) for c in views.WIDE_COLUMNS), ("note", (4079, 2, 1))]))
+
+
+@register("l1_wide_csv", _L1_CSV_SQL)
+def l1_wide_csv(spark, sf_dir):
+    """The wide file with odd text, written as quoted, compressed CSV and read back."""
+    wide = views.raw_views(spark, sf_dir)["raw_wide"]
+    path = scratch_path(spark, "wide_csv")
+    L.write_wide_csv(wide.withColumn("4079-2.1", F.expr(_odd_text(True))), path)
+    return L.wide_csv_to_long(spark, path)
+
+
+def _register_load(table: str) -> None:
+    """A record file with odd text in columns of its own, written, and loaded with every column."""
+    note = _odd_text(breaks=table in ("hesin_oper", "death_cause"))
+    source = {"gp_clinical": "gp_clinical", "gp_registrations": "gp_registrations"}.get(table, f"raw_{table}")
+
+    @register(f"l3_{table}_all_columns", O.with_views(f"SELECT *, 'D' || CAST(eid % 4 AS string) AS dsource, {note} AS note FROM {source}"))
+    def load(spark, sf_dir):
+        raw = views.raw_views(spark, sf_dir)
+        path, root = scratch_path(spark, f"{table}_tsv"), scratch_path(spark, "loaded")
+        odd = raw[f"raw_{table}"].withColumn("dsource", F.expr("'D' || CAST(eid % 4 AS string)")).withColumn("note", F.expr(note))
+        L.write_record_tsv(odd, path)
+        L.load_table(spark, path, table, root, raw["raw_baseline"])
+        return spark.read.parquet(f"{root}/{table}")
+
+
+for _table in RECORD_COLUMNS:
+    _register_load(_table)
+
+_BAD_HESIN = """SELECT CAST(eid AS string) AS eid, CASE WHEN ins_index % 7 = 0 THEN 'x' || CAST(ins_index AS string) ELSE CAST(ins_index AS string) END AS ins_index,
+  CASE WHEN ins_index % 11 = 0 THEN '31/02/2010' WHEN ins_index % 13 = 0 THEN '2010-01-01 ' || chr(34) END AS epistart,
+  '' AS epiend, '01/02/2010' AS admidate, CASE WHEN eid % 5 = 0 THEN 'soon' END AS disdate FROM raw_hesin"""
+
+
+@register("l3_rejects", O.with_views("""
+SELECT 'ins_index' AS "column", ins_index AS value, 'not an integer' AS reason FROM bad WHERE TRY_CAST(ins_index AS BIGINT) IS NULL
+UNION ALL SELECT 'epistart', epistart, 'not a date' FROM bad WHERE epistart IS NOT NULL
+UNION ALL SELECT 'disdate', disdate, 'not a date' FROM bad WHERE disdate IS NOT NULL""".strip(), {"bad": _BAD_HESIN}))
+def l3_rejects(spark, sf_dir):
+    """Every value that the load turns to NULL, with its column and the reason (file and line are left out: they follow the layout)."""
+    raw = views.raw_views(spark, sf_dir)
+    path, root = scratch_path(spark, "hesin_tsv"), scratch_path(spark, "loaded")
+    L.write_record_tsv(spark.sql(_BAD_HESIN.replace("raw_hesin", "{raw_hesin}"), raw_hesin=raw["raw_hesin"]), path)
+    L.load_table(spark, path, "hesin", root, raw["raw_baseline"])
+    return L.rejects(spark, root).select("column", "value", "reason")
+
+
 @register("l4_read_code", O.with_views("SELECT eid, read_2, read_3, read_code FROM gp_clinical"))
 def l4_read_code(spark, sf_dir):
     return _study(spark, sf_dir).sources.gp_clinical.select("eid", "read_2", "read_3", "read_code")
@@ -158,16 +218,8 @@ def x4_selfreport_operation(spark, sf_dir):
     return XT.extract_self_report(s.sources, s.matches, 20004)
 
 
-def _nonstandard_sql(kinds: tuple[str, ...]) -> str:
-    defs = O.load_definitions()
-    keep = {}
-    for name, doc in defs.items():
-        d2 = {k: v for k, v in doc["definitions"].items()
-              if str(k).isdigit() and int(k) not in O.C.STANDARD_FIELDS and (
-                  (v.get("metadata") or {}).get("type") == "biomarker" and "biomarker" in kinds
-                  or ((v.get("metadata") or {}).get("time_qualifier") or {}).get("type") in kinds)}
-        keep[name] = {**doc, "definitions": d2}
-    return O.with_views(O.events_sql(defs=keep))
+def _nonstandard_sql(rules: tuple[str, ...]) -> str:
+    return O.with_views(O.events_sql(rules=rules))
 
 
 @register("x5_age_qualified", _nonstandard_sql(("age",)))
@@ -230,20 +282,14 @@ def x14_baseline_biomarker(spark, sf_dir):
     return XT.extract_survey(s.sources, _matches_of(s, match="biomarker"))
 
 
-def _x15_sql() -> str:
-    units = O._in(O.C.BIOMARKER_UNITS)
-    parts = []
-    for suffix, codes in (("_plasma", PLASMA), ("_serum", SERUM)):
-        parts.append(
-            f"SELECT CAST(a.eid AS BIGINT) AS eid, '{BIOMARKER_TAG}{suffix}' AS phenotype, CAST(42040 AS INTEGER) AS field_id, "
-            "a.field_value, a.eventdate, TRY_CAST(a.data_value AS FLOAT) AS data_value FROM ("
-            "SELECT eid, read_code AS field_value, eventdate, CASE WHEN data_provider = 2 THEN value2 ELSE value1 END "
-            "AS data_value, CASE WHEN data_provider = 2 THEN value3 ELSE NULL END AS units FROM gp_clinical) AS a "
-            f"WHERE a.field_value IN {O._in(codes)} AND (a.units IS NULL OR a.units IN {units})")
-    return O.with_views("\nUNION ALL\n".join(parts))
+_X15_SQL = f"""SELECT CAST(eid AS BIGINT) AS eid, phenotype, CAST(42040 AS INTEGER) AS field_id, read_code AS field_value, eventdate,
+  TRY_CAST(CASE data_provider WHEN 2 THEN value2 ELSE value1 END AS FLOAT) AS data_value
+FROM gp_clinical JOIN (VALUES {", ".join(f"('{BIOMARKER_TAG}_{kind}', '{c}')" for kind, own in (("serum", SERUM), ("plasma", PLASMA)) for c in own)})
+  AS wanted(phenotype, read_code) USING (read_code)
+WHERE data_provider IS DISTINCT FROM 2 OR value3 IS NULL OR value3 IN {O.listed(O.GP_UNITS)}"""
 
 
-@register("x15_gp_biomarker", _x15_sql())
+@register("x15_gp_biomarker", O.with_views(_X15_SQL))
 def x15_gp_biomarker(spark, sf_dir):
     s = _study(spark, sf_dir)
     return XT.extract_gp_biomarker(s.sources, BIOMARKER_TAG, SERUM, PLASMA)
@@ -433,20 +479,18 @@ def f9_single_registration(spark, sf_dir):
     return _study(spark, sf_dir).cohort().select("eid", "gp_ehr_single_reg", "gp_ehr_deduct_date")
 
 
+#: Cohort columns under their names in the merged table; those of the short form first.
+_F10_NAMES = {"f53": "date_baseline_assessment", "f54": "AssessmentCentre", "f21003": "age_baseline", "f40000": "death_date"}
+_F10_MORE = {"f189": "TownsendIndex", "f21001": "BMI", "f50": "height", "f21002": "weight", "f95": "sys_bp", "f94": "diast_bp",
+             "f20116": "smoking_status", "f20117": "alcohol_status", "f21000": "ethnic_background"}
+
+
 def _f10_sql(basic: bool) -> str:
-    head = "b.eid, b.country, b.dob, b.gp_ehr, b.gp_ehr_data_provider, "
-    if basic:
-        head += "b.gp_ehr_single_reg, b.gp_ehr_deduct_date, "
-        rest = ("b.f53 AS date_baseline_assessment, b.f54 AS AssessmentCentre, b.f21003 AS age_baseline, "
-                "b.f40000 AS death_date, ")
-    else:
-        rest = ("b.f53 AS date_baseline_assessment, b.f54 AS AssessmentCentre, b.f21003 AS age_baseline, "
-                "b.f189 AS TownsendIndex, b.f21001 AS BMI, b.f50 AS height, b.f21002 AS weight, b.f95 AS sys_bp, "
-                "b.f94 AS diast_bp, b.f20116 AS smoking_status, b.f20117 AS alcohol_status, "
-                "b.f21000 AS ethnic_background, b.f40000 AS death_date, ")
-    return (f"SELECT {head}b.f31 AS sex, CASE WHEN TRY_CAST(b.f31 AS DOUBLE) = 0 THEN 'female' ELSE 'male' END "
-            f"AS sex_label, {rest}f.field_id_label, f.phenotype, f.field_id, f.eventdate "
-            "FROM baseline_cohort b LEFT JOIN phenotype_first f ON b.eid = f.eid")
+    dropped = ["f34", "f52", *(_F10_MORE if basic else ["gp_ehr_single_reg", "gp_ehr_deduct_date"])]
+    names = {"f31": "sex", **_F10_NAMES, **({} if basic else _F10_MORE)}
+    return f"""SELECT person.* EXCLUDE ({", ".join(dropped)}) RENAME ({", ".join(f"{a} AS {b}" for a, b in names.items())}),
+  if(TRY_CAST(f31 AS DOUBLE) = 0, 'female', 'male') AS sex_label, field_id_label, phenotype, field_id, eventdate
+FROM baseline_cohort AS person LEFT JOIN phenotype_first USING (eid)"""
 
 
 @register("f10_cohort_first_events", O.with_views(_f10_sql(False), _FIRST_CTES_F))
@@ -536,18 +580,17 @@ def r1_count_people(spark, sf_dir):
 
 
 @register("r2_report_by_field", O.with_views(
-    "SELECT l.field_id, l.title, count(DISTINCT eid) AS num_patients, count(*) AS num_events "
-    f"FROM lkp_fields l, phenotypes p WHERE l.field_id = p.field_id AND p.phenotype = '{PHENOTYPE}' "
-    "GROUP BY l.field_id, l.title", {**_EVENTS_CTE, "lkp_fields": views.lkp_fields_sql()}))
+    f"""SELECT field_id, title, count(DISTINCT eid) AS num_patients, count(*) AS num_events
+FROM phenotypes JOIN lkp_fields USING (field_id) WHERE phenotype = '{PHENOTYPE}' GROUP BY ALL""",
+    {**_EVENTS_CTE, "lkp_fields": views.lkp_fields_sql()}))
 def r2_report_by_field(spark, sf_dir):
     return R.report_by_field(_store(spark, sf_dir).read(), views.lkp_fields(spark), PHENOTYPE)
 
 
 def _r3_sql(compat: bool) -> str:
     return O.with_views(
-        f"SELECT {O.label_sql('p.field_id', compat=compat)} AS field_id_label, count(DISTINCT eid) AS num_patients, "
-        f"count(*) AS num_events FROM phenotypes p WHERE p.phenotype = '{PHENOTYPE}' GROUP BY field_id_label",
-        _EVENTS_CTE)
+        f"""SELECT coalesce(label, 'selfreport') AS field_id_label, count(DISTINCT eid) AS num_patients, count(*) AS num_events
+FROM phenotypes LEFT JOIN {O.labels_sql(compat)} USING (field_id) WHERE phenotype = '{PHENOTYPE}' GROUP BY ALL""", _EVENTS_CTE)
 
 
 @register("r3_report_by_category", _r3_sql(False))
@@ -582,9 +625,9 @@ def r4_recode_cohort(spark, sf_dir):
 
 
 def _r5_sql() -> str:
-    num = [c for c in O.C.TABLE_ONE_COLUMNS if c not in O.C.TABLE_ONE_CATEGORICAL and c != "sex"]
-    cat = [c for c in O.C.TABLE_ONE_COLUMNS if c in O.C.TABLE_ONE_CATEGORICAL or c == "sex"]
-    g = ("SELECT grp, " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in O.C.TABLE_ONE_COLUMNS) +
+    num = [c for c in C.TABLE_ONE_COLUMNS if c not in C.TABLE_ONE_CATEGORICAL and c != "sex"]
+    cat = [c for c in C.TABLE_ONE_COLUMNS if c in C.TABLE_ONE_CATEGORICAL or c == "sex"]
+    g = ("SELECT grp, " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in C.TABLE_ONE_COLUMNS) +
          " FROM (SELECT COALESCE(CAST(sex AS VARCHAR), 'missing') AS grp, * FROM r4 UNION ALL "
          "SELECT 'Overall' AS grp, * FROM r4) u")
     parts = ["SELECT grp, 'n' AS variable, CAST(NULL AS VARCHAR) AS level, count(*) AS n, CAST(NULL AS BIGINT) AS missing, "

@@ -2,7 +2,7 @@
 
 * L1/L2 - the wide survey file becomes the long ``baseline`` table: the header is parsed once and every
   row generates its non-empty cells (one array, whatever the number of columns);
-* L3 - tab-separated record files with all-string schemas, '' -> NULL, ``dd/mm/yyyy`` dates;
+* L3 - tab-separated record files: cells by header name, '' -> NULL, ``dd/mm/yyyy`` dates, rejected values listed;
 * L4/L5 - GP clinical: unified Read code and birth-year date repair;
 * L6 - GP registrations: the same date repair on both dates;
 * L7 - field lookups on the long table.
@@ -17,13 +17,14 @@ import re
 
 from dataclasses import dataclass, fields as dc_fields
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith import config as C
 from phenolith.functions import exprs as X
 from phenolith.schemas import RECORD_COLUMNS, RECORD_DATE_COLUMNS, RECORD_INT_COLUMNS
-from phenolith.sources import views
+from phenolith.session import scratch_path
+from phenolith.sources import delimited, views
 
 
 @dataclass
@@ -94,7 +95,44 @@ def wide_to_long(wide: DataFrame, id_col: str = "eid") -> DataFrame:
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     """The wide file as text columns (header decides the schema; nothing is inferred)."""
-    return spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
+    return (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+
+
+def wide_csv_to_long(spark: SparkSession, path: str, id_col: str = "eid") -> DataFrame:
+    """L1 from the file itself: lines become cells (see ``delimited``), cells get their field, visit and slot by joining the
+    header dictionary (L2) on their position. The plan has as many nodes for 9,000 columns as for nine. Rows whose eid is
+    no integer, and cells beyond the header, are not loaded: :func:`wide_rejects` lists them."""
+    line, names = delimited.header(spark, path, ",")
+    at = names.index(id_col)
+    fields = [(k, *parse_field_name(c)) for k, c in enumerate(names) if k != at]
+    dictionary = spark.createDataFrame(fields, "pos int, field int, i int, n int")  # one row per column of the header
+    records = delimited.read_records(spark, path, ",", skip=line)
+    cells = records.select(X.try_cast(F.get("cells", F.lit(at)), "bigint").alias("eid"), F.posexplode("cells").alias("pos", "value"))
+    return cells.where(F.col("eid").isNotNull() & (F.col("value") != "")).join(F.broadcast(dictionary), "pos").select(
+        "eid", "field", "i", "n", "value")
+
+
+def wide_rejects(spark: SparkSession, path: str, id_col: str = "eid") -> DataFrame:
+    """file, line, column, value, reason of what :func:`wide_csv_to_long` does not load."""
+    line, names = delimited.header(spark, path, ",")
+    records = delimited.read_records(spark, path, ",", skip=line)
+    eid = F.get("cells", F.lit(names.index(id_col)))
+    found = F.array(
+        F.when(X.try_cast(eid, "bigint").isNull(), _reject(id_col, eid, "not an integer")),
+        F.when(F.size("cells") > len(names), _reject(None, F.array_join(F.slice("cells", len(names) + 1, F.size("cells")), ","), "beyond the header")))
+    return _reject_rows(records.withColumn("_rejects", F.filter(found, lambda x: x.isNotNull())), spark, path)
+
+
+def write_wide_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """The wide file as quoted CSV text, compressed."""
+    _csv_writer(df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])).option("compression", compression).csv(path)
+
+
+def _csv_writer(df: DataFrame):
+    return (df.write.mode("overwrite").option("quote", '"').option("escape", '"').option("header", True)
+            .option("emptyValue", "").option("nullValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_long(long: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -107,36 +145,65 @@ def write_long(long: DataFrame, path: str, mode: str = "overwrite") -> None:
 # L3: tab-separated record files
 # ----------------------------------------------------------------------------------------------
 
-def read_record_tsv(spark: SparkSession, path: str, table: str, every_column: bool = False) -> DataFrame:
-    """L3: quoted, tab-separated, header skipped; every column read as text (nothing inferred), the
-    columns the engine uses selected by header name, then typed with try_* ('' and bad values -> NULL).
-    Record files carry many more columns than are used; a positional schema would misread them. With
-    ``every_column`` these follow as text. A used column that the header lacks is an error."""
-    raw = (spark.read.option("sep", "\t").option("quote", '"').option("header", True)
-           .option("inferSchema", False).csv(path))
-    if absent := [c for c in RECORD_COLUMNS[table] if c not in raw.columns]:
+def _reject(column: str | None, value: Column, reason: str) -> Column:
+    return F.struct(F.lit(column).cast("string").alias("column"), value.alias("value"), F.lit(reason).alias("reason"))
+
+
+def _reject_rows(records: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """file, line, column, value, reason of the records' ``_rejects``."""
+    bad = records.where(F.size("_rejects") > 0).select("file", "block", "id", F.explode("_rejects").alias("r"))
+    return delimited.line_numbers(bad, spark, path).select("file", "line", "r.column", "r.value", "r.reason")
+
+
+def _typed_records(spark: SparkSession, path: str, table: str, every_column: bool) -> tuple[DataFrame, list[str]]:
+    """The records of a file with one column per field and ``_rejects``: what was turned to NULL, or does not fit the header."""
+    line, names = delimited.header(spark, path, "\t")
+    if absent := [c for c in RECORD_COLUMNS[table] if c not in names]:
         raise ValueError(f"{table} file without the column(s) {', '.join(absent)}")
-    out = []
+    columns, rejects = [], []
     for c in RECORD_COLUMNS[table]:
-        v = F.nullif(F.col(f"`{c}`"), F.lit(""))
+        raw = F.nullif(F.get("cells", F.lit(names.index(c))), F.lit(""))
         if c in RECORD_DATE_COLUMNS.get(table, ()):
-            v = X.uk_date(v)
+            value, reason = X.uk_date(raw), "not a date"
         elif c == "eid" or c in RECORD_INT_COLUMNS.get(table, ()):
-            v = X.try_cast(v, "bigint" if c in ("eid", "ins_index") else "int")
-        out.append(v.alias(c))
+            value, reason = X.try_cast(raw, "bigint" if c in ("eid", "ins_index") else "int"), "not an integer"
+        else:
+            columns.append(raw.alias(c))
+            continue
+        columns.append(value.alias(c))
+        rejects.append(F.when(raw.isNotNull() & value.isNull(), _reject(c, raw, reason)))
     if every_column:
-        out += [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns if c not in RECORD_COLUMNS[table]]
-    return raw.select(*out)
+        columns += [F.nullif(F.get("cells", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names) if c not in RECORD_COLUMNS[table]]
+    n = len(names)
+    rejects.append(F.when(F.size("cells") > n, _reject(None, F.array_join(F.slice("cells", n + 1, F.size("cells")), "\t"), "beyond the header")))
+    rejects.append(F.when(F.size("cells") < n, _reject(None, F.size("cells").cast("string"), "fewer cells than the header")))
+    records = delimited.read_records(spark, path, "\t", skip=line)
+    kept = [c for c in names if every_column and c not in RECORD_COLUMNS[table]]
+    return records.select("file", "block", "id", *columns, F.filter(F.array(*rejects), lambda x: x.isNotNull()).alias("_rejects")), [
+        *RECORD_COLUMNS[table], *kept]
+
+
+def read_record_tsv(spark: SparkSession, path: str, table: str, every_column: bool = False) -> DataFrame:
+    """L3: quoted, tab-separated, header skipped; cells are found by the names in the header, then typed with try_* ('' and
+    bad values -> NULL; :func:`record_rejects` lists the bad ones). Record files carry many more columns than are used;
+    with ``every_column`` these follow as text. A used column that the header lacks is an error."""
+    records, columns = _typed_records(spark, path, table, every_column)
+    return records.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def record_rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """file, line, column, value, reason of each value of a record file that L3 turns to NULL, and of each record with more or
+    fewer cells than the header."""
+    return _reject_rows(_typed_records(spark, path, table, False)[0], spark, path)
 
 
 def write_record_tsv(df: DataFrame, path: str) -> None:
     """Write a record table the way the record files come: tab-separated, quoted, dd/mm/yyyy dates."""
     cols = []
     for name, dtype in df.dtypes:
-        c = F.col(name)
+        c = F.col(f"`{name}`")
         cols.append((F.date_format(c, "dd/MM/yyyy") if dtype == "date" else c.cast("string")).alias(name))
-    (df.select(*cols).write.mode("overwrite").option("sep", "\t").option("quote", '"')
-     .option("header", True).option("emptyValue", "").option("nullValue", "").csv(path))
+    _csv_writer(df.select(*cols)).option("sep", "\t").csv(path)
 
 
 # ----------------------------------------------------------------------------------------------
@@ -197,6 +264,7 @@ def normalise_gp_clinical(raw: DataFrame, baseline: DataFrame) -> DataFrame:
     df = raw.select(
         "eid", "data_provider", F.col("event_dt").alias("eventdate"), "read_2", "read_3",
         "value1", "value2", "value3", X.unified_read_code(F.col("read_2"), F.col("read_3")).alias("read_code"),
+        *[F.col(f"`{c}`") for c in raw.columns if c not in RECORD_COLUMNS["gp_clinical"]],
     )
     return repair_birth_year_dates(df, ["eventdate"], year_of_birth(baseline))
 
@@ -206,23 +274,44 @@ def normalise_gp_registrations(raw: DataFrame, baseline: DataFrame) -> DataFrame
     return repair_birth_year_dates(raw, ["reg_date", "deduct_date"], year_of_birth(baseline))
 
 
+REJECTS = "table string, file string, line long, column string, value string, reason string"
+
+
+def load_table(spark: SparkSession, path: str, table: str, root: str, baseline: DataFrame, every_column: bool = True) -> int:
+    """One record file -> ``root/<table>``, typed and repaired; returns how many values were rejected. These are counted in the
+    pass that writes the table, and listed below ``root/rejects`` by a second pass only where there are some."""
+    records, columns = _typed_records(spark, path, table, every_column)
+    seen = Observation(f"load {table}")
+    typed = records.observe(seen, F.sum(F.size("_rejects")).alias("rejected")).select(*[F.col(f"`{c}`") for c in columns])
+    repair = {"gp_clinical": normalise_gp_clinical, "gp_registrations": normalise_gp_registrations}.get(table)
+    target = f"{root}/{table}" if repair is None else scratch_path(spark, f"typed-{table}")
+    typed.write.mode("overwrite").parquet(target)
+    if repair is not None:  # the repair reads its input twice: the file is parsed once
+        repair(spark.read.schema(typed.schema).parquet(target), baseline).write.mode("overwrite").parquet(f"{root}/{table}")
+    rejected = int(seen.get["rejected"] or 0)
+    if rejected:
+        record_rejects(spark, path, table).write.mode("overwrite").parquet(f"{root}/rejects/table={table}")
+    return rejected
+
+
 def load_files(spark: SparkSession, wide: str, files: dict[str, str], root: str, every_column: bool = True) -> Sources:
-    """The load: the wide survey file and the eight record files (``files``: table -> path) become typed and
-    repaired Parquet tables below ``root``, once; :meth:`Sources.open` reads them from then on."""
+    """The load: the wide survey file and the eight record files (``files``: table -> path) become typed and repaired Parquet
+    tables below ``root``, once; :meth:`Sources.open` reads them from then on, :func:`rejects` what was not loaded."""
     if absent := sorted(RECORD_COLUMNS.keys() - files.keys()):
         raise ValueError(f"no file for {', '.join(absent)}")
-    write_long(wide_to_long(read_wide_csv(spark, wide)), f"{root}/baseline")
+    write_long(wide_csv_to_long(spark, wide), f"{root}/baseline")
+    wide_rejects(spark, wide).write.mode("overwrite").parquet(f"{root}/rejects/table=baseline")
     baseline = spark.read.parquet(f"{root}/baseline").select("eid", "field", "i", "n", "value")
     for table in RECORD_COLUMNS:
-        df = read_record_tsv(spark, files[table], table, every_column)
-        if table == "gp_clinical":
-            df = normalise_gp_clinical(df, baseline)
-        elif table == "gp_registrations":
-            df = normalise_gp_registrations(df, baseline)
-        df.write.mode("overwrite").parquet(f"{root}/{table}")
+        load_table(spark, files[table], table, root, baseline, every_column)
     return Sources.open(spark, root)
 
 
+def rejects(spark: SparkSession, root: str) -> DataFrame:
+    """table, file, line, column, value, reason of everything a load (:func:`load_files`) left out or turned to NULL."""
+    return spark.read.schema(REJECTS).parquet(f"{root}/rejects").select("table", "file", "line", "column", "value", "reason")
+
+
 # ----------------------------------------------------------------------------------------------
 # Fixture sources
 # ----------------------------------------------------------------------------------------------
