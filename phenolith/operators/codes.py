@@ -40,8 +40,8 @@ CATALOGUE_SCHEMA = (
     f"definitions array<{FIELD_STRUCT}>"
 )
 
-# the code table carries at most this many rows into a broadcast; beyond it the join shuffles
-BROADCAST_ROW_LIMIT = 2_000_000
+# a code table of at most this many bytes is broadcast; beyond it the join shuffles
+BROADCAST_BYTES = 64 << 20
 
 
 class UnknownPhenotypeError(ValueError):
@@ -350,6 +350,7 @@ class MatchInfo:
     the definition corpus: a row count, a few code lengths, the fields in use)."""
 
     n_rows: int
+    n_bytes: int
     prefix_lengths: tuple[int, ...]
     fields: tuple[int, ...]
     qual_fields: tuple[int, ...]
@@ -361,28 +362,61 @@ class MatchInfo:
 
     @property
     def broadcastable(self) -> bool:
-        return self.n_rows <= BROADCAST_ROW_LIMIT
+        return self.n_bytes <= BROADCAST_BYTES
 
 
 def match_info(matches: DataFrame) -> MatchInfo:
     r = matches.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), table_bytes(matches).alias("bytes"),
         F.sort_array(F.collect_set(F.when(F.col("match") == "prefix", F.col("code_len")))).alias("lens"),
         F.sort_array(F.collect_set("field_id")).alias("fields"),
         F.sort_array(F.collect_set("qual_field")).alias("quals"),
         *[F.sort_array(F.collect_set(F.when(F.col("match") == k, F.col("field_id")))).alias(k)
           for k in ("exact", "prefix", "biomarker")],
     ).first()
-    return MatchInfo(int(r.n), tuple(int(x) for x in r.lens), tuple(int(x) for x in r.fields),
+    return MatchInfo(int(r.n), int(r.bytes), tuple(int(x) for x in r.lens), tuple(int(x) for x in r.fields),
                      tuple(int(x) for x in r.quals),
                      {k: tuple(int(x) for x in r[k]) for k in ("exact", "prefix", "biomarker")})
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, n_rows: int | None = None) -> DataFrame:
-    """Broadcast a catalogue-derived table only after checking its size; otherwise leave the join to AQE.
-    ``n_rows`` is a known upper bound of the row count (e.g. of the unfiltered match table)."""
-    n = df.count() if n_rows is None else n_rows
-    return F.broadcast(df) if n <= limit else df
+def table_bytes(df: DataFrame) -> Column:
+    """Aggregate: about the bytes of ``df``'s rows (text as it is, 16 a value, 64 a row)."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    row = F.lit(64 + 16 * len(df.columns))
+    for t in text:
+        row = row + t
+    return F.coalesce(F.sum(row), F.lit(0)).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, n_bytes: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a table only after checking its size in bytes; otherwise leave the join to AQE. ``n_bytes`` is a known upper
+    bound (e.g. of the unfiltered match table)."""
+    size = df.agg(table_bytes(df)).first()[0] if n_bytes is None else n_bytes
+    return F.broadcast(df) if size <= limit else df
+
+
+def slice_marks(matches: DataFrame) -> dict[tuple[str, int], str]:
+    """(phenotype, field_id) -> mark of the content of its codes, whatever their order (one entry per slice: bounded by the
+    definitions)."""
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in ("type", "code", "match", "qual_type", "qual_field")])
+    other = F.xxhash64(F.lit("second"), row)
+    marked = matches.groupBy("phenotype", "field_id").agg(F.count("*").alias("n"), F.bit_xor(row).alias("a"), F.bit_xor(other).alias("b"))
+    return {(r.phenotype, int(r.field_id)): f"{r.n}:{r.a & (1 << 64) - 1:016x}{r.b & (1 << 64) - 1:016x}" for r in marked.collect()}
+
+
+def match_values(values: DataFrame, matches: DataFrame, info: MatchInfo) -> DataFrame:
+    """field_id, field_value, phenotype, type, qual_type, qual_field: each distinct value of a prefix-matched field once for
+    every (definition, type) with a code that it starts with, whatever the case. Only values are expanded into their
+    prefixes (of the code lengths in use); records then join by value."""
+    columns = "field_id int, field_value string, phenotype string, type string, qual_type string, qual_field int"
+    if not info.prefix_lengths:
+        return matches.sparkSession.createDataFrame([], columns)
+    folded = F.upper("field_value")
+    prefixes = F.array(*[F.when(F.length(folded) >= k, F.substring(folded, 1, k)) for k in info.prefix_lengths])
+    probes = values.where(F.col("field_id").isin(*info.kind_fields("prefix"))).select(
+        F.col("field_id").cast("int").alias("field_id"), "field_value", F.explode(prefixes).alias("code")).where(F.col("code").isNotNull())
+    codes = matches.where(F.col("match") == "prefix").select("field_id", "code", "phenotype", "type", "qual_type", "qual_field")
+    return probes.join(broadcast_if_small(codes, info.n_bytes), ["field_id", "code"]).drop("code")
 
 
 def lint_unextracted(codes: DataFrame) -> DataFrame:

@@ -4,16 +4,16 @@ The reference runs one SQL statement per (definition, field) with the codes past
 anchored regular expressions. Here every source table is scanned **once for all definitions** (the long survey table
 three times: answers, qualifiers, years of birth):
 
-* exact codes (self-report answers, Read codes): broadcast equi-join on (field_id, code);
-* prefix codes (ICD-10, OPCS-4, registry): the match table holds a *minimal cover* per (definition, field,
-  type); each record generates its candidate prefixes for the few code lengths in use (a ``Generate``) and
-  probes the same broadcast table with an equi-join. Case is folded on both sides (prefix matching is
-  case-insensitive), exact matching is case-sensitive;
+* exact codes (self-report answers, Read codes): broadcast equi-join on (field_id, code), case-sensitive;
+* prefix codes (ICD-10, OPCS-4, registry): records repeat a small dictionary of values. The distinct (field, value) pairs - an
+  index that a load stores, else one aggregate over the records - are matched once, folding case: each value is expanded
+  into its prefixes of the code lengths in use and joined to a *minimal cover* of the codes. Records then take one equi-join
+  by (field, value), whatever the number of definitions; no record is expanded;
 * the date rule is a column expression keyed on field and type; qualifier values come from left joins
   on the long table (same visit/slot, or the participant's visit-0 values).
 
-The match table is derived from the definition files, so it is bounded by the corpus rather than by
-the data; it is broadcast only after its row count is checked (:func:`codes.broadcast_if_small`).
+The match table is bounded by the definition files, the matched values by codes in use times definitions that list them. Both are
+broadcast only after their bytes are checked (:func:`codes.broadcast_if_small`); beyond that the joins shuffle.
 Large-large joins (episodes, participants' qualifiers) are shuffle joins left to AQE, whose skew-join
 rule splits a hot participant's partition.
 """
@@ -29,6 +29,7 @@ from phenolith import config as C
 from phenolith.functions import exprs as X
 from phenolith.operators import codes as K
 from phenolith.schemas import PHENOTYPE_COLUMNS
+from phenolith.session import scratch_path
 from phenolith.sources.records import Sources
 
 HOSPITAL_DIAG_FIELDS = (C.F_HOSP_DIAG_MAIN, C.F_HOSP_DIAG_SEC)
@@ -64,8 +65,8 @@ def _restrict(matches: DataFrame, fields: Iterable[int], kind: str | None = None
 
 
 def _probe(matches: DataFrame, cols: list[str], info: K.MatchInfo) -> DataFrame:
-    # the row count of the whole match table bounds every filtered part of it
-    return K.broadcast_if_small(matches.select(*cols), n_rows=info.n_rows)
+    # the bytes of the whole match table bound every filtered part of it
+    return K.broadcast_if_small(matches.select(*cols), info.n_bytes)
 
 
 def _info(matches: DataFrame, info: K.MatchInfo | None) -> K.MatchInfo:
@@ -85,23 +86,22 @@ def match_exact(records: DataFrame, matches: DataFrame, value_col: str = "field_
         .drop(m["field_id"]).drop("code")
 
 
-def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field_value",
-                 info: K.MatchInfo | None = None) -> DataFrame:
-    """Records x prefix codes (minimal cover): each record is matched at most once per (definition, type).
-    Candidate prefixes are generated for the code lengths in use (a superset is harmless)."""
+def value_hits(sources: Sources, matches: DataFrame, info: K.MatchInfo | None = None) -> DataFrame:
+    """The matched values of the prefix fields (:func:`codes.match_values`), written once (small: distinct values times the
+    definitions that list them) and with a broadcast hint if their bytes allow it."""
     info = _info(matches, info)
-    pm = matches.where(F.col("match") == "prefix")
-    lengths = info.prefix_lengths
-    if not lengths:
-        return records.limit(0).withColumns({
-            "phenotype": F.lit(None).cast("string"), "type": F.lit(None).cast("string"),
-            "qual_type": F.lit(None).cast("string"), "qual_field": F.lit(None).cast("int")})
-    folded = F.upper(F.col(value_col))
-    candidates = F.array(*[F.when(F.length(folded) >= k, F.substring(folded, 1, k)) for k in lengths])
-    probes = records.withColumn("_prefix", F.explode(candidates)).where(F.col("_prefix").isNotNull())
-    m = _probe(pm, ["field_id", "code", "phenotype", "type", "qual_type", "qual_field"], info)
-    return probes.join(m, (probes["field_id"] == m["field_id"]) & (probes["_prefix"] == m["code"]), "inner") \
-        .drop(m["field_id"]).drop("code", "_prefix")
+    spark = matches.sparkSession
+    if not info.prefix_lengths:
+        return K.match_values(matches.select("field_id", F.col("code").alias("field_value")), matches, info)
+    path = scratch_path(spark, "value-hits")
+    found = K.match_values(sources.coded_values(), matches, info)
+    found.write.parquet(path)
+    return K.broadcast_if_small(spark.read.schema(found.schema).parquet(path))
+
+
+def match_prefix(records: DataFrame, hits: DataFrame) -> DataFrame:
+    """Records (with ``field_id`` and ``field_value``) x matched values: one row per (definition, type) that lists them."""
+    return records.join(hits, ["field_id", "field_value"], "inner")
 
 
 # ----------------------------------------------------------------------------------------------
@@ -110,10 +110,9 @@ def match_prefix(records: DataFrame, matches: DataFrame, value_col: str = "field
 
 def extract_hospital(sources: Sources, matches: DataFrame,
                      fields: Iterable[int] = HOSPITAL_DIAG_FIELDS + HOSPITAL_OPER_FIELDS,
-                     info: K.MatchInfo | None = None) -> DataFrame:
+                     info: K.MatchInfo | None = None, hits: DataFrame | None = None) -> DataFrame:
     fields = tuple(fields)
-    info = _info(matches, info)
-    m = _restrict(matches, fields, "prefix")
+    hits = value_hits(sources, matches, info) if hits is None else hits
     parts = []
     diag_levels = [lv for lv, f in enumerate(HOSPITAL_DIAG_FIELDS, start=1) if f in fields]
     oper_levels = [lv for lv, f in enumerate(HOSPITAL_OPER_FIELDS, start=1) if f in fields]
@@ -133,7 +132,7 @@ def extract_hospital(sources: Sources, matches: DataFrame,
     for p in parts[1:]:
         recs = recs.unionByName(p)
     recs = recs.where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
-    hit = match_prefix(recs, m, info=info)
+    hit = match_prefix(recs, hits)
     episodes = sources.hesin.select("eid", "ins_index", "admidate", "epistart")
     joined = hit.join(episodes, ["eid", "ins_index"], "inner")
     is_diag = F.col("field_id").isin(*HOSPITAL_DIAG_FIELDS)
@@ -165,10 +164,9 @@ def extract_hospital_procedures(sources: Sources, matches: DataFrame, level: int
 # ----------------------------------------------------------------------------------------------
 
 def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] = DEATH_FIELDS,
-                  info: K.MatchInfo | None = None) -> DataFrame:
+                  info: K.MatchInfo | None = None, hits: DataFrame | None = None) -> DataFrame:
     fields = tuple(fields)
-    info = _info(matches, info)
-    m = _restrict(matches, fields, "prefix")
+    hits = value_hits(sources, matches, info) if hits is None else hits
     levels = [lv for lv, f in enumerate(DEATH_FIELDS, start=1) if f in fields]
     recs = sources.death_cause.where(F.col("level").isin(*levels)).select(
         "eid",
@@ -176,7 +174,7 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
         .when(F.col("level") == 2, F.lit(C.F_DEATH_SECONDARY)).alias("field_id"),
         F.col("cause_icd10").alias("field_value"),
     ).where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
-    hit = match_prefix(recs, m, info=info)
+    hit = match_prefix(recs, hits)
     # pre-aggregate the death records to (eid, date, multiplicity): the join becomes many-to-one and
     # the reference's row multiplication is restored by a local generate after it
     deaths = sources.death.groupBy("eid", "date_of_death").agg(F.count(F.lit(1)).cast("int").alias("_k"))
@@ -236,34 +234,8 @@ def _slot_key(n, field) -> F.Column:
     return F.shiftleft(n.cast("bigint"), 32).bitwiseOR(field.cast("bigint"))
 
 
-def _candidate(kind, code) -> F.Column:
-    """What an answer and a code are matched by: the code under a sign of its kind; a biomarker has no code."""
-    return (F.when(kind == "exact", F.concat(F.lit("="), code))
-            .when(kind == "prefix", F.concat(F.lit("^"), code))
-            .when(kind == "biomarker", F.lit("*")))
-
-
-def _candidates(baseline: DataFrame, info: K.MatchInfo, used: dict[str, list[int]]) -> DataFrame:
-    """One scan of the long table for the fields in use; each answer once for everything it can match by."""
-    wanted = sorted({f for fields in used.values() for f in fields})
-    value, folded = F.col("field_value"), F.upper(F.col("field_value"))
-    ways = []
-    if used.get("exact"):
-        ways.append((used["exact"], _candidate(F.lit("exact"), value)))
-    if used.get("prefix"):
-        ways += [(used["prefix"], F.when(F.length(folded) >= k, _candidate(F.lit("prefix"), F.substring(folded, 1, k))))
-                 for k in info.prefix_lengths]
-    if used.get("biomarker"):
-        ways.append((used["biomarker"], _candidate(F.lit("biomarker"), F.lit(""))))
-    all_ways = F.array(*[F.when(F.col("field_id").isin(*fields), way) for fields, way in ways]
-                       or [F.lit(None).cast("string")])
-    return (baseline.where(F.col("field").isin(*wanted))
-            .select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
-            .withColumn("_code", F.explode(F.filter(all_ways, lambda c: c.isNotNull()))))
-
-
 def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] | None = None,
-                   undated: bool = False, info: K.MatchInfo | None = None) -> DataFrame:
+                   undated: bool = False, info: K.MatchInfo | None = None, hits: DataFrame | None = None) -> DataFrame:
     """X1-X9, X14 over the long table in one pass for all definitions.
 
     ``undated`` applies X7 instead (no date, no qualifier) to the exact-matched rows."""
@@ -275,13 +247,31 @@ def extract_survey(sources: Sources, matches: DataFrame, fields: Iterable[int] |
     # a static field filter: partition pruning on a long table stored by field, and union-branch pruning on
     # the fixture views
     info = _info(matches, info)
-    rows = _candidates(sources.baseline, info, {
-        kind: [f for f in info.kind_fields(kind) if f not in non_survey and (fields is None or f in fields)
-               and (kind != "prefix" or f == C.F_CANCER_REGISTRY)]
-        for kind in (("exact",) if undated else ("exact", "prefix", "biomarker"))})
-    probe = _probe(m.withColumn("_code", _candidate(F.col("match"), F.col("code"))),
-                   ["field_id", "_code", "match", "phenotype", "type", "qual_type", "qual_field"], info)
-    hits = rows.join(probe, ["field_id", "_code"], "inner").drop("_code")
+    kinds = ("exact",) if undated else ("exact", "prefix", "biomarker")
+    used = {kind: [f for f in info.kind_fields(kind) if f not in non_survey and (fields is None or f in fields)
+                   and (kind != "prefix" or f == C.F_CANCER_REGISTRY)] for kind in kinds}
+    columns = ["field_id", "field_value", "match", "phenotype", "type", "qual_type", "qual_field"]
+    probe = m.where(F.col("match") == "exact").withColumn("field_value", F.col("code")).select(*columns)
+    if used.get("prefix"):
+        registry = value_hits(sources, matches, info) if hits is None else hits
+        listed = m.where(F.col("match") == "prefix").select("field_id", "phenotype", "type").distinct()
+        probe = probe.unionByName(registry.where(F.col("field_id").isin(*used["prefix"])).join(
+            listed, ["field_id", "phenotype", "type"], "left_semi").withColumn("match", F.lit("prefix")).select(*columns))
+    # a biomarker takes all values of its field, under a key of its own; others go by their value
+    probe = probe.withColumn("_code", F.concat(F.lit("="), F.col("field_value")))
+    probe = probe.unionByName(m.where(F.col("match") == "biomarker").withColumns(
+        {"field_value": F.lit(None).cast("string"), "_code": F.lit("*")}).select(*columns, "_code")).drop("field_value")
+
+    answers = sources.baseline.select("eid", F.col("field").alias("field_id"), "i", "n", F.col("value").alias("field_value"))
+    by_value = sorted({*used["exact"], *used.get("prefix", ())})
+    measured = used.get("biomarker", [])
+    code = F.concat(F.lit("="), F.col("field_value"))
+    if measured:
+        code = F.when(F.col("field_id").isin(*[f for f in measured if f not in by_value]), F.lit("*")).otherwise(code)
+    rows = answers.where(F.col("field_id").isin(*sorted({*by_value, *measured}))).withColumn("_code", code)
+    if both := [f for f in measured if f in by_value]:  # fields that some definitions match and others measure
+        rows = rows.unionByName(answers.where(F.col("field_id").isin(*both)).withColumn("_code", F.lit("*")))
+    hits = rows.join(K.broadcast_if_small(probe), ["field_id", "_code"], "inner").drop("_code")
     if undated:
         return _out(hits, X.null_date())
     hits = hits.withColumn("_rule", _rule(F.col("qual_type"))).where(F.col("_rule").isNotNull())
@@ -376,11 +366,12 @@ def extract_all(sources: Sources, matches: DataFrame, phenotypes: Iterable[str]
     if fields is not None:
         m = m.where(F.col("field_id").isin(*list(fields)))
     info = _info(matches, info)  # of the unfiltered table: a superset is harmless
+    hits = value_hits(sources, m, info)
     return (
-        extract_hospital(sources, m, info=info)
-        .unionByName(extract_death(sources, m, info=info))
+        extract_hospital(sources, m, info=info, hits=hits)
+        .unionByName(extract_death(sources, m, info=info, hits=hits))
         .unionByName(extract_primary_care(sources, m, info=info))
-        .unionByName(extract_survey(sources, m, info=info))
+        .unionByName(extract_survey(sources, m, info=info, hits=hits))
     )
 
 

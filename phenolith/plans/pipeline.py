@@ -75,9 +75,10 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
 
     * unknown names raise (C2); complex definitions, SNOMED and prescription fields are skipped;
     * ``fields`` keeps only those fields (a field a definition does not define yields nothing);
-    * without ``refresh`` a (phenotype, field) that the store records as finished is skipped, and if that
-      leaves none, no job runs; with ``refresh`` it is extracted again. The old events give way only after
-      the new ones are written (:meth:`EventStore.replace`);
+    * without ``refresh`` a (phenotype, field) is skipped that the store records as finished **with the same codes** (a mark of
+      the content of its slice of the match table); if that leaves none, no job runs. A pair whose codes, types or date rule
+      changed is extracted again, and one that its definition lists no longer is dropped. With ``refresh`` all are extracted
+      again. The old events give way, in one version of the store, after the new ones are written (:meth:`EventStore.replace`);
     * ``testing`` writes nothing and returns the rows; test mode with refresh is rejected (Q12)."""
     if testing and refresh:
         raise ValueError("refresh needs a store; test mode never writes")
@@ -86,19 +87,24 @@ def extract_phenotypes(study: Study, phenotypes: Iterable[str] | None = None, fi
         names = list(phenotypes)
         K.require_phenotypes(study.spark, study.catalogue, names)
         m = m.where(F.col("phenotype").isin(*names))
-    if fields is not None:
-        m = m.where(F.col("field_id").isin(*list(fields)))
+    wanted = None if fields is None else {int(f) for f in fields}
+    if wanted is not None:
+        m = m.where(F.col("field_id").isin(*wanted))
     if testing:
         return XT.extract_all(study.sources, m, info=study.info)
     if store is None:
         raise ValueError("a store is needed outside test mode")
-    requested = [(r.phenotype, int(r.field_id)) for r in m.select("phenotype", "field_id").distinct().collect()]
-    todo = requested if refresh else sorted(set(requested) - store.finished())
-    if todo:
-        pairs = study.spark.createDataFrame(todo, "phenotype string, field_id int")
+    marks = K.slice_marks(m)
+    finished = store.finished()
+    todo = {p: mark for p, mark in marks.items() if refresh or finished.get(p) != mark}
+    # a definition that was asked for and has lost a field
+    asked = set(names) if phenotypes is not None else {r.variable_name for r in study.catalogue.select("variable_name").collect()}
+    stale = [p for p in finished if p not in marks and p[0] in asked and (wanted is None or p[1] in wanted)]
+    if todo or stale:
+        pairs = study.spark.createDataFrame(sorted(todo), "phenotype string, field_id int")
         left = m.join(pairs, ["phenotype", "field_id"], "left_semi").cache()
         # facts of what is left, so that only its fields are read; both are bounded by the definitions
-        store.replace(XT.extract_all(study.sources, left, info=K.match_info(left)), todo)
+        store.replace(XT.extract_all(study.sources, left, info=K.match_info(left)), todo, drop=stale)
         left.unpersist()
     return None
 

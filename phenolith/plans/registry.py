@@ -329,6 +329,22 @@ def x18_refresh(spark, sf_dir):
     return store.read()
 
 
+@register("x18_changed_codes", O.with_views(_ev()))
+def x18_changed_codes(spark, sf_dir):
+    """A first run with other code lists (codes missing, codes too many, one type changed, a field too many), then one with the
+    definitions as they are: pairs whose codes changed are extracted again, the field that is listed no longer goes."""
+    s = _study(spark, sf_dir)
+    odd = F.xxhash64("phenotype", "field_id", "code") % 3 == 0
+    m = s.matches.where(~odd | (F.col("phenotype") != PHENOTYPE))
+    m = m.withColumn("type", F.when((F.col("phenotype") == "sugar_disorder") & (F.col("field_id") == 42040), F.lit("prevalent")).otherwise(F.col("type")))
+    extra = s.matches.where((F.col("phenotype") == "sugar_disorder") & (F.col("field_id") == 41202))
+    m = m.unionByName(extra.withColumn("phenotype", F.lit(PHENOTYPE)).withColumn("field_id", F.lit(41200)))
+    store = EventStore(spark, scratch_path(spark, "phenotypes"))
+    extract_phenotypes(replace(s, matches=m, _info=None), store=store, testing=False)
+    extract_phenotypes(s, store=store, testing=False)
+    return store.read()
+
+
 @register("x19_diagnoses_of_people", O.with_views(
     "SELECT DISTINCT eid, diag_icd10 FROM raw_hesin_diag WHERE diag_icd10 IS NOT NULL "
     "AND eid IN (SELECT eid FROM raw_death)"))

@@ -29,7 +29,7 @@ def test_prefix_join_equals_regex_alternation(spark, codes_a, codes_b, values):
     matches = K.match_table(spark.createDataFrame(rows, CODE_SCHEMA))
     recs = spark.createDataFrame([(i, 41202, v) for i, v in enumerate(values)],
                                  "rid int, field_id int, field_value string")
-    got = Counter((r.rid, r.phenotype) for r in XT.match_prefix(recs, matches).collect())
+    got = Counter((r.rid, r.phenotype) for r in XT.match_prefix(recs, K.match_values(recs.select("field_id", "field_value").distinct(), matches, K.match_info(matches))).collect())
 
     want = Counter()
     for name, cs in (("pa", codes_a), ("pb", codes_b)):

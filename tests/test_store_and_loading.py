@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import os
 import time
@@ -18,7 +19,7 @@ from phenolith.session import scratch_path
 from phenolith.schemas import RECORD_COLUMNS
 from phenolith.sources import records as L
 from phenolith.sources import views
-from phenolith.sources.store import EventStore
+from phenolith.sources.store import ConflictingWrite, EventStore
 from conftest import SF_SMALL, d
 
 
@@ -72,14 +73,65 @@ def test_failed_refresh_keeps_the_old_events(spark, study, all_events, monkeypat
             extract_phenotypes(study, store=store, refresh=True, testing=False)
     assert "lost" in str(failed.value)
     assert store_rows(store) == all_events
-    assert not [f for f in os.listdir(store.path.removeprefix("file:")) if f.startswith("_staging")]
+    assert len(os.listdir(store.path.removeprefix("file:") + "/data")) == 1  # what the failed run wrote is gone
+
+
+def test_failure_at_the_switch_keeps_the_old_events(spark, study, all_events, monkeypatch):
+    """New rows are written, then the run dies before its version appears."""
+    store = fresh(spark)
+    extract_phenotypes(study, store=store, testing=False)
+
+    def dies(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(EventStore, "_commit", dies)
+        with pytest.raises(OSError, match="lost"):
+            extract_phenotypes(study, store=store, refresh=True, testing=False)
+        with pytest.raises(OSError, match="lost"):
+            store.delete("renal_decline")
+    assert store_rows(store) == all_events and store.versions() == [1]
+
+
+def test_readers_are_pinned_and_conflicting_writers_refused(spark, study, all_events):
+    store = fresh(spark)
+    extract_phenotypes(study, store=store, testing=False)
+    before = store.read()
+    base = store.manifest()
+    store.delete("renal_decline")
+    assert sorted(map(tuple, before.collect())) == all_events == sorted(map(tuple, store.read(1).collect()))
+    with pytest.raises(ConflictingWrite):
+        store._commit(base, {}, {})
+    assert store.versions() == [1, 2]
+    store.append(spark.createDataFrame(before.where("phenotype = 'renal_decline'").collect(), before.schema))
+    assert store_rows(store) == all_events
+    extract_phenotypes(study, store=store, refresh=True, testing=False)
+    assert store.vacuum() == 2 and store.versions() == [4] and store_rows(store) == all_events
+
+
+def test_changed_and_removed_codes(spark, study, all_events, monkeypatch):
+    store = fresh(spark)
+    gone = (F.col("phenotype") == "renal_decline") & F.col("field_id").isin(41202, 20002)
+    fewer = dataclasses.replace(study, matches=study.matches.where(~gone | (F.col("field_id") == 41202) & (F.xxhash64("code") % 2 == 0)), _info=None)
+    extract_phenotypes(fewer, store=store, testing=False)
+    assert store_rows(store) != all_events
+    asked = []
+    from phenolith.operators import extract as XT
+
+    whole = XT.extract_all
+    monkeypatch.setattr("phenolith.operators.extract.extract_all", lambda s, m, **kw: (
+        asked.extend(tuple(r) for r in m.select("phenotype", "field_id").distinct().collect()), whole(s, m, **kw))[1])
+    extract_phenotypes(study, store=store, testing=False)
+    assert store_rows(store) == all_events and {p for p, _ in asked} == {"renal_decline"}
+    extract_phenotypes(fewer, ["renal_decline"], store=store, testing=False)  # a field that is listed no longer goes
+    assert all(r[2] != 20002 for r in store_rows(store) if r[1] == "renal_decline")
 
 
 def test_nothing_left_extracts_nothing(spark, study, monkeypatch):
     store = fresh(spark)
     extract_phenotypes(study, store=store, testing=False)
     requested = {(r.phenotype, r.field_id) for r in study.matches.select("phenotype", "field_id").distinct().collect()}
-    assert store.finished() == requested  # those without events too
+    assert set(store.finished()) == requested  # those without events too
 
     def not_again(*args, **kwargs):
         raise AssertionError("extracted again")
