@@ -1,18 +1,18 @@
 """Main text of web pages by maximum-scoring subsequence.
 
-A page is read as a sequence of tags and runs of words. Words score positive where they stand in a kind of
-element that holds content, nothing where it holds boilerplate; tags score negative. One linear scan finds the
-contiguous stretch with the largest sum, and its content words are the text. Tags in <article> or <main>, in
-boilerplate elements and of elements that are not read (scripts, ...) score nothing: what stands there is known to be
-content or is left out anyway.
-
-The scores come from labelled pages: pages with exactly one <article> or <main>, if it holds at least half of the
-words outside boilerplate elements, label themselves, what stands in it (outside boilerplate elements) being content.
-Over a bounded sample (``sample_pages`` pages with the smallest hash of the id) words are counted by the kind of
-element around them and tags by name, inside and outside the content, and added to prior counts, which also score
-pages of kinds that no label shows. Words beside the article of a labelled page are no content there, but say nothing
-of other pages, so they count for boilerplate kinds only: all other kinds score above 0. A kind is the name of
-the nearest telling element (nav, article, aside, ... or one whose class, id or role has a telling word).
+A page is read as a sequence of tags and runs of words. Words score by the kind of element around them, positive where such
+elements hold content, nothing in boilerplate, negative in plain elements beside an article; tags score negative. One linear
+scan finds the contiguous stretch with the largest sum, and its words of positive kinds are the text. Tags in kinds that are
+all content, in boilerplate elements and of elements that are not read (scripts, ...) score nothing.
+
+The scores come from labelled pages: pages with exactly one <article> or <main>, if it holds at least half of the words
+outside boilerplate elements. Labels serve training only: every page, labelled or not, gets its region from the scan. Over a
+bounded sample (``sample_pages`` pages with the smallest hash of the id) words are counted by kind and tags by name, inside
+and outside the content, and added to prior counts, which also score kinds that no label shows. A kind is the name of the
+nearest telling element (nav, article, aside, ... or a container whose class, role or, outside articles, id has a telling
+word); what stands in an article or main is of its kind. On pages where most words stand in articles, plain elements beside
+them are kinds of their own (marked *), so that they say nothing of pages without articles. An <article> in boilerplate (a
+reader comment, a card) is boilerplate, unless the page has no other.
 
 Character references are decoded, white space within a block is one space, blocks are joined by an empty line.
 Null html counts as empty; pages without content words have an empty text; unclosed or stray tags, comments
@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 from phenolith.llm.common import pick
 
 # Element names of HTML by use, and words that name parts of pages.
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math",
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg",
        "object", "select", "button", "canvas", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
-          "time", "tt", "u", "var", "wbr"}
+          "time", "tt", "u", "var", "wbr", "math", "mi", "mn", "mo", "mrow", "msup", "msub", "mfrac", "msqrt", "mtext", "semantics"}
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "center", "details", "aside", "header", "footer", "form", "td"}
 TELLING = {"article", "main", "nav", "header", "footer", "aside", "form", "head", "dialog", "menu", "fieldset", "figure", "body"}
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "head", "dialog", "menu", "fieldset"}
 BOILERPLATE_WORDS = {
@@ -61,21 +62,26 @@ _ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.IGNORECASE) for name in R
 _PART = re.compile(r"[a-z]+")
 
 
+def _in_article(kind: str) -> bool:
+    return kind in ("article", "main")
+
+
 def _kind(name: str, attributes: str, around: str) -> str | None:
     """The kind of a telling element, or None where it takes that of the element around it."""
     if "=" in attributes or "hidden" in attributes.lower():
         words = set()
-        for _, a, b, c in _ATTRIBUTE.findall(attributes):
-            words.update(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
+        for what, a, b, c in _ATTRIBUTE.findall(attributes):
+            if not (_in_article(around) and what.lower() == "id"):  # ids in an article name its sections
+                words.update(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
         found = sorted(words & BOILERPLATE_WORDS)
-        if found and name not in ("body", "html", "article", "main"):
+        if found and name in CONTAINERS:
             return f"{name}.{found[0]}"
         if _HIDDEN.search(attributes) and name not in ("body", "html"):
             return f"{name}.hidden"
         if words & CONTENT_WORDS and name in ("div", "section", "td"):
             return f"{name}.content"
-    if name == "header" and around.split(".")[0] in ("article", "main"):
-        return f"{around}>header"
+    if name == "header" and _in_article(around):
+        return around
     return name if name in TELLING else None
 
 
@@ -83,9 +89,11 @@ def is_boilerplate(kind: str) -> bool:
     return kind in BOILERPLATE or kind.partition(".")[2] in BOILERPLATE_WORDS
 
 
-def tokens(page: str):
-    """Yields (tag name or None, kind of element around, raw text, starts a block) in page order."""
+def tokens(page: str, articles_count: bool = False):
+    """Yields (tag name or None, kind of element around, raw text, starts a block) in page order. ``articles_count``: an
+    article is one in boilerplate too."""
     stack: list[tuple[str, str]] = []
+    opened: Counter = Counter()  # names on the stack: a closing tag of none of them costs nothing
     at, n = 0, len(page)
     around = "body"
     while at < n:
@@ -102,32 +110,55 @@ def tokens(page: str):
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
         block = name not in INLINE
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                while True:
+                    last, _ = stack.pop()
+                    opened[last] -= 1
+                    if last == name:
+                        break
             around = stack[-1][1] if stack else "body"
             yield name, around, "", block
             continue
-        if name == "body" and any(x == "head" for x, _ in stack):
+        if name == "body" and opened["head"]:
             stack = [x for x in stack if x[0] != "head"]
+            opened["head"] = 0
             around = stack[-1][1] if stack else "body"
         if block and stack and stack[-1][0] == "p":  # a block ends an open paragraph
+            opened["p"] -= 1
             stack.pop()
             around = stack[-1][1] if stack else "body"
         own = _kind(name, attributes, around)
-        # an element inside boilerplate is boilerplate, unless it is the article itself
-        if own is None or (is_boilerplate(around) and not is_boilerplate(own) and name not in ("article", "main", "body")):
+        # what stands in boilerplate is boilerplate, and in an article of the article's kind
+        if is_boilerplate(around) and not (articles_count and name in ("article", "main")) and name != "body" and not is_boilerplate(own or ""):
+            own = around
+        if own is None or (_in_article(around) and not is_boilerplate(own) and own != "article"):
             own = around
         yield name, own, "", block
         if name in RAW and not attributes.endswith("/"):
             end = _ENDS[name].search(page, at)
             at = end.start() if end else n
-        elif name not in VOID and not attributes.endswith("/") and (own != around or (block and name != "p")):
+        elif name not in VOID and not attributes.endswith("/") and (own != around or name in ("article", "main") or (block and name != "p")):
             stack.append((name, own))
+            opened[name] += 1
             around = own
 
 
+def read(page: str) -> list[tuple[str | None, str, str, bool]]:
+    """The page's tokens. Where most words stand in articles, or else in articles and main, other plain kinds are marked."""
+    found = list(tokens(page))
+    if not any(_in_article(kind) for _, kind, _, _ in found) and re.search(r"<(article|main)[\s>]", page, re.IGNORECASE):
+        found = list(tokens(page, True))
+    words: Counter = Counter()
+    for name, kind, text, _ in found:
+        if name is None and not is_boilerplate(kind):
+            words[kind if _in_article(kind) else "other"] += len(text.split())
+    total = sum(words.values())
+    inside = next((own for own in (("article",), ("article", "main")) if 0 < total <= 2 * sum(words[k] for k in own)), None)
+    if inside is None:
+        return found
+    return [(name, kind if kind in inside or is_boilerplate(kind) else kind + "*", text, block) for name, kind, text, block in found]
+
+
 @dataclass
 class Weights:
     """words: score of a word by kind (unknown kinds: ``other``); tags: score of a tag by name, below 0."""
@@ -135,12 +166,13 @@ class Weights:
     words: dict[str, float]
     tags: dict[str, float]
     other: float = 1.0
+    beside: float = -1.0
     other_tag: float = -1.0
 
     def word(self, kind: str) -> float:
         if is_boilerplate(kind):
             return min(self.words.get(kind, 0.0), 0.0)
-        return self.words.get(kind, self.other)
+        return self.words.get(kind, self.beside if kind.endswith("*") else self.other)
 
     def tag(self, name: str, kind: str) -> float:
         """Within kinds that are all content, within boilerplate and where nothing is read a tag says nothing."""
@@ -150,39 +182,30 @@ class Weights:
 
 
 # Prior counts (content, other) of words by kind and of tags by name.
-_PRIOR_WORDS = {"article": (20, 1), "main": (20, 1), "body": (3, 1), "figure": (2, 1)}
+_PRIOR_WORDS = {"article": (20, 1), "main": (20, 1), "body": (3, 1), "figure": (2, 1), "body*": (1, 3)}
 _PRIOR_TAGS = {name: (20, 2) for name in ("p", "b", "i", "em", "strong", "br", "h1", "h2", "h3", "span", "blockquote")}
 _PRIOR_TAGS |= {name: (2, 5) for name in ("a", "li", "ul", "div", "td", "tr", "img", "input")}
 
 
-def labelled(read: list, page: str) -> list[bool] | None:
-    """For each token whether it stands in the page's content; None if the page does not label itself."""
-    opened = Counter(name for name, *_ in read if name in ("article", "main"))
-    best = "article" if opened["article"] else "main"
-    if opened[best] != 2 and not (opened[best] == 1 and f"</{best}" not in page.lower()):
-        return None
-    out, inside, words = [], False, [0, 0]
-    for name, kind, text, _ in read:
-        if name == best:
-            inside = not inside
-        content = inside and name != best and not is_boilerplate(kind)
-        if name is None and not is_boilerplate(kind):
-            words[content] += len(text.split())
-        out.append(content)
-    return out if words[True] >= words[False] else None
+def labelled(found: list) -> bool:
+    """Whether the page labels itself: one article, or else one main, holds most of its words."""
+    opened = Counter(name for name, kind, _, _ in found if name == kind)  # the tags that open them (closing ones stand outside)
+    return any(kind.endswith("*") for _, kind, _, _ in found) and (opened["article"] or opened["main"]) == 1
 
 
 def label_counts(page: str) -> Counter:
     """(what, name, in content) counts of a page that labels itself; nothing of others."""
-    read = list(tokens(page))
-    content = labelled(read, page)
+    found = read(page)
     out: Counter = Counter()
-    for (name, kind, text, _), own in zip(read, content or ()):
+    if not labelled(found):
+        return out
+    for name, kind, text, _ in found:
+        own = _in_article(kind)
         if name is not None:
             # what makes an element boilerplate is its kind, and tags beside the content say nothing of other pages
             if own or (is_boilerplate(kind) and kind.partition(".")[0] != name):
                 out["tag", name, own] += 1
-        elif (own or is_boilerplate(kind)) and (n := len(text.split())):
+        elif n := len(text.split()):
             out["word", kind, own] += n
     return out
 
@@ -206,8 +229,8 @@ def learn(pages: DataFrame, sample_pages: int = 2000, page_id: str = "page_id",
                 names=["what", "name", "inside", "n"])
 
     counted = sample.mapInArrow(count, "what string, name string, inside boolean, n long")
-    # names of elements and kinds: kinds are of a fixed set, tags are kept if HTML or frequent
-    sums = counted.groupBy("what", "name", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "what", "name", "inside").limit(5000)
+    # tag names are whatever pages hold: those that stand on one page of the sample only are left to the default score
+    sums = counted.groupBy("what", "name", "inside").agg(F.sum("n").alias("n")).where("what = 'word' or n > 1")
     words, tags = {k: list(v) for k, v in _PRIOR_WORDS.items()}, {k: list(v) for k, v in _PRIOR_TAGS.items()}
     for r in sums.collect():
         (words if r.what == "word" else tags).setdefault(r.name, [1, 1])[not r.inside] += r.n
@@ -229,14 +252,13 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str, weights: Weights) -> str:
-    read = list(tokens(page))
-    # beside the content of a labelled page words score nothing
-    content = labelled(read, page) or [True] * len(read)
-    counts = [len(text.split()) if name is None and own else 0 for (name, _, text, _), own in zip(read, content)]
-    scores = [weights.tag(name, kind) if name else n * max(0.0, weights.word(kind)) for (name, kind, _, _), n in zip(read, counts)]
+    found = read(page)
+    # words of boilerplate are left out wherever they stand: they cost nothing, those beside an article do
+    scores = [weights.tag(name, kind) if name else 0.0 if is_boilerplate(kind) else len(text.split()) * weights.word(kind)
+              for name, kind, text, _ in found]
     start, stop = best_region(scores)
     blocks, current = [], []
-    for name, kind, text, block in read[start:stop]:
+    for name, kind, text, block in found[start:stop]:
         if name is None:
             if weights.word(kind) > 0:
                 current.append(html.unescape(text))

@@ -377,7 +377,7 @@ PAGE = """<html><head><title>T words</title><style>p{}</style></head><body><head
 def test_main_text(spark, no_docs):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     weights = html_text.learn(pages)
-    assert html_text.main_text(PAGE, weights) == "Head&line\n\nFirst bold text line\n\nSecond\n\nitem a"
+    assert html_text.main_text(PAGE, weights) == "Head&line\n\nFirst bold text line\n\nSecond\n\nshare me\n\nitem a"
     for page in ("", "<", "<p", "plain words", "<div>a</div>", "<!-- x", "<script>x", "<a title='>'>b</a>", "</p></p>"):
         html_text.main_text(page, weights)
     assert html_text.main_text("plain words", weights) == "plain words"
@@ -405,6 +405,39 @@ def test_plain_pages_beside_labelled_ones(spark):
     assert got[19].endswith(words) and got[20] == words
 
 
+def test_sections_with_telling_names_stay(spark):
+    """Ids, and classes of anything but containers, don't take text out of an article; comments and cards are no articles."""
+    words = " ".join(f"word{i}" for i in range(30))
+    weights = html_text.learn(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    inner = (f"<h2 id=related-work>Related work</h2><section id=discussion><p>{words}</p></section><p class=alert>A warning</p><p id=search>Find</p>"
+             f"<h2 id=legal-basis>Legal basis</h2><table class=side-by-side><tr><td>cell</td></tr></table><p>E = <math><mi>m</mi><mo>c</mo></math></p>")
+    comments = "<section id=comments><article class=comment>A reader says things that go on</article></section><aside class=related><article class=card>Card</article></aside>"
+    want = f"Related work\n\n{words}\n\nA warning\n\nFind\n\nLegal basis\n\ncell\n\nE = mc"
+    assert html_text.main_text(f"<body><article>{inner}</article>{comments}</body>", weights) == want
+    boxed = f"<div class=post-with-sidebar><article>{inner}</article></div>"
+    assert html_text.main_text(boxed, weights) == want
+
+
+def test_the_scan_chooses_the_region(spark, monkeypatch):
+    """On the given pages' html without article elements, and on one with words beside the article, the scan decides."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = html_text.learn(pages)
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Topic {i}</a></li>" for i in range(30)) + "</ul>"
+    htmls = [r.html for r in pages.select("html").limit(40).collect() if r.html]
+    plain = [h.replace("<article", links + "<div").replace("</article>", "</div>" + links) for h in htmls]
+    beside = [h.replace("<article", "<div>By A Writer</div><article") for h in htmls]
+    want = [html_text.main_text(h, weights) for h in htmls]
+    assert [html_text.main_text(h, weights) for h in plain] == want == [html_text.main_text(h, weights) for h in beside]
+    monkeypatch.setattr(html_text, "best_region", lambda scores: (0, len(scores)))
+    assert all(html_text.main_text(h, weights) != w for h, w in zip(plain, want))
+
+
+def test_hostile_pages_take_linear_time():
+    weights = html_text.Weights({}, {})
+    for page in ("<div>" * 60_000 + "</b>" * 60_000 + "end", "<head>" * 30_000 + "<body>" * 30_000 + "end", "<article><p>" * 40_000 + "end"):
+        assert html_text.main_text(page, weights).endswith("end")
+
+
 def test_text_beside_boilerplate_within_the_content(spark):
     """A title, a lead and a short last paragraph stay, whatever stands between them and the body."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
