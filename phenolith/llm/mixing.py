@@ -173,7 +173,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = 3, t
 
 
 def _settle(cells: DataFrame, limit: int, most_rounds: int = 1000) -> DataFrame:
-    """Moves single copies, largest fitting size first, until a source is within 0.1% of its target or no
+    """Moves copies of one size at a time, the size that brings the source nearest, until a source is within 0.1% of its target or no
     size can bring it nearer: every round brings a source nearer. Each is one aggregation over the histogram."""
     for _ in range(most_rounds):
         gap = cells.groupBy("source_key").agg(
@@ -181,11 +181,14 @@ def _settle(cells: DataFrame, limit: int, most_rounds: int = 1000) -> DataFrame:
             F.first("target").alias("goal")).where(F.abs("gap") > F.col("goal") * 1e-3).select("source_key", "gap")
         able = F.when(F.col("gap") > 0, F.col("n") * limit - F.col("total")).otherwise(F.col("total"))
         fitting = cells.join(gap, "source_key").where((F.col("size") > 0) & (F.col("size") < 2 * F.abs("gap")) & (able > 0))
-        chosen = fitting.groupBy("source_key").agg(F.max("size").alias("size"), F.first("gap").alias("gap"))
+        copies = F.least(F.greatest(F.lit(1), F.floor(F.abs("gap") / F.col("size"))), able)
+        rest = F.abs(F.abs("gap") - copies * F.col("size"))
+        chosen = fitting.groupBy("source_key").agg(
+            F.min(F.struct(rest.alias("rest"), (-F.col("size")).alias("size"))).alias("x"), F.first("gap").alias("gap")).select(
+            "source_key", (-F.col("x.size")).alias("size"), "gap")
         if chosen.isEmpty():
             break
-        able = F.when(F.col("gap") > 0, F.col("n") * limit - F.col("total")).otherwise(F.col("total"))
-        moved = F.least(F.greatest(F.lit(1), F.floor(F.abs("gap") / F.col("size"))), able) * F.signum("gap")
+        moved = copies * F.signum("gap")
         cells = materialise(
             cells.join(chosen, ["source_key", "size"], "left")
             .withColumn("total", F.col("total") + F.coalesce(moved, F.lit(0)).cast("long")).drop("gap"), "cells")
