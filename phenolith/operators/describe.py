@@ -9,7 +9,7 @@ sorted, and only the handful of rows that hold a requested rank come back to the
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from phenolith import config as C
 from phenolith.functions import exprs as X
+from phenolith.operators.events import events_of_selection
 
 R6_PERCENTILES = (10, 20, 30, 40, 50, 60, 70, 80, 90)
 R6_COLUMNS = ("count_all", "count_missing", "count_invalid", "min", "max", "count_below_min", "count_above_max",
@@ -55,6 +56,13 @@ def report_by_category(events: DataFrame, phenotype: str, compat: bool = False)
             .agg(F.count_distinct("eid").alias("num_patients"), F.count(F.lit(1)).alias("num_events")))
 
 
+def report_of_selection(events: DataFrame, selection: DataFrame, compat: bool = False) -> DataFrame:
+    """R3 for every definition of a catalogue selection (C9-C11) that has events: people and events per source category."""
+    return (events_of_selection(events, selection).withColumn("field_id_label", X.source_label(F.col("field_id"), compat))
+            .groupBy("phenotype", "field_id_label")
+            .agg(F.count_distinct("eid").alias("num_patients"), F.count(F.lit(1)).alias("num_events")))
+
+
 # ----------------------------------------------------------------------------------------------
 # Cohort description
 # ----------------------------------------------------------------------------------------------
@@ -230,3 +238,105 @@ def describe_values(df: DataFrame, col: str, minimum: float | None = None, maxim
             row.append(None if v is None else round(float(v), ROUND_DIGITS))
     schema = ", ".join(f"{k} {'bigint' if k.startswith('count') else 'double'}" for k in R6_COLUMNS)
     return spark.createDataFrame([tuple(row)], schema)
+
+
+def column_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """variable, missing, x: one row for each row of ``df`` and column; ``x`` is the number, NULL where there is none. A name
+    listed twice counts once."""
+    types = dict(df.dtypes)
+    cells = []
+    for c in dict.fromkeys(columns):
+        raw = F.col(f"`{c}`")
+        is_num = types[c].startswith("decimal") or types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint")
+        missing = raw.isNull() | F.isnan(raw) if is_num else raw.isNull()
+        cells.append(F.struct(F.lit(c).alias("variable"), missing.alias("missing"), X.try_cast(raw, "double").alias("x")))
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _ranks_of_all(values: DataFrame, ranks: Mapping[str, set[int]], range_values: int) -> dict[tuple[str, int], float]:
+    """Value at each wanted 0-based rank of each variable's numbers. ``values`` (variable, x) is counted per distinct value
+    once, for all variables; the distinct values are range-partitioned by (variable, value), each variable's part of a range is
+    counted, and only the parts that hold a wanted rank (at most one a rank) are sorted."""
+    counted = values.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    n_ranges = math.ceil(counted.count() / range_values)
+    if n_ranges > 1:
+        # stored with its range, as another run may cut the ranges elsewhere
+        ranged = (counted.repartitionByRange(n_ranges, "variable", "x").withColumn("r", F.spark_partition_id())
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+    else:
+        ranged = counted.withColumn("r", F.lit(0))
+    before: dict[str, int] = {}
+    parts = []
+    # one row a variable and range it reaches into
+    for p in sorted(ranged.groupBy("variable", "r").agg(F.sum("c").alias("t")).collect(), key=lambda p: (p.variable, p.r)):
+        start = before.get(p.variable, 0)
+        before[p.variable] = start + p.t
+        inside = sorted(k for k in ranks[p.variable] if start <= k < start + p.t)
+        if inside:
+            parts.append((p.variable, p.r, start, inside))
+    found = {}
+    if parts:
+        wanted = values.sparkSession.createDataFrame(parts, "variable string, r int, start bigint, ranks array<bigint>")
+        w = Window.partitionBy("variable", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = ranged.join(F.broadcast(wanted), ["variable", "r"]).withColumn("end", F.col("start") + F.sum("c").over(w))
+        hits = ranked.select("variable", "x", F.explode(F.filter(
+            "ranks", lambda k: (k >= F.col("end") - F.col("c")) & (k < F.col("end")))).alias("k"))
+        found = {(h.variable, h.k): h.x for h in hits.collect()}  # one row a wanted rank
+    if n_ranges > 1:
+        ranged.unpersist()
+    counted.unpersist()
+    return found
+
+
+def describe_cells(cells: DataFrame, limits: Mapping[str, tuple[float | None, float | None]] | None = None,
+                   range_values: int = RANGE_VALUES) -> DataFrame:
+    """R6 of many variables at once, one row each (``variable`` and the columns of :func:`describe_values`), from rows
+    (variable, missing, x) such as :func:`column_cells` makes of a wide table, or the long survey table with its field as
+    variable. The jobs are as many for 9,000 variables as for one: statistics, counts per distinct value, counts per range,
+    ranks. ``limits``: (minimum, maximum) of a variable, each or both None. A variable without rows gives no row; one without
+    finite numbers its three counts. The driver gets a few rows a variable."""
+    limits = dict(limits or {})
+
+    def limit(side: int) -> F.Column:
+        known = {v: float(pair[side]) for v, pair in limits.items() if pair[side] is not None}
+        if not known:
+            return F.lit(None).cast("double")
+        return F.create_map(*[F.lit(e) for kv in known.items() for e in kv])[F.col("variable")]
+
+    x = F.col("x")
+    is_finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(math.inf))
+    finite = F.when(is_finite, x)
+    count = lambda condition: F.count(F.when(condition, 1))
+    stats = {s.variable: s for s in cells.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("count_all"), count(F.col("missing")).alias("count_missing"),
+        count(~F.col("missing") & (x.isNull() | F.isnan(x))).alias("count_invalid"), F.count(finite).alias("n"),
+        F.min(finite).alias("min"), F.max(finite).alias("max"), count(finite < limit(0)).alias("count_below_min"),
+        count(finite > limit(1)).alias("count_above_max"), F.stddev_pop(finite).alias("std")).collect()}
+    places = {v: {p: p / 100 * (s.n - 1) for p in (*R6_PERCENTILES, 25, 75)} for v, s in stats.items() if s.n}
+    ranks = {v: {r for place in at.values() for r in (math.floor(place), min(math.floor(place) + 1, stats[v].n - 1))}
+             for v, at in places.items()}
+    values = _ranks_of_all(cells.where(is_finite).select("variable", "x"), ranks, range_values) if ranks else {}
+
+    def row(v: str) -> tuple:
+        s, at = stats[v], places.get(v)
+        out = {"count_all": s.count_all, "count_missing": s.count_missing, "count_invalid": s.count_invalid}
+        if at:
+            def percentile(p: int) -> float:
+                low = math.floor(at[p])
+                return _lerp(values[v, low], values[v, min(low + 1, s.n - 1)], at[p] - low)
+
+            low, high = limits.get(v, (None, None))
+            out |= {"count_below_min": None if low is None else s.count_below_min,
+                    "count_above_max": None if high is None else s.count_above_max, "min": s["min"], "max": s["max"], "std": s["std"],
+                    **{f"decile_{p}": percentile(p) for p in R6_PERCENTILES}, "median": percentile(50),
+                    "IQR": percentile(75) - percentile(25)}
+        return (v, *(out.get(k) if k.startswith("count") or out.get(k) is None else round(out[k], ROUND_DIGITS) for k in R6_COLUMNS))
+
+    schema = "variable string, " + ", ".join(f"{k} {'bigint' if k.startswith('count') else 'double'}" for k in R6_COLUMNS)
+    return cells.sparkSession.createDataFrame([row(v) for v in sorted(stats)], schema)
+
+
+def describe_columns(df: DataFrame, columns: Iterable[str],
+                     limits: Mapping[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
+    """R6 of several columns of a table at once (see :func:`describe_cells`)."""
+    return describe_cells(column_cells(df, columns), limits)

@@ -51,6 +51,13 @@ def events_by_field(events: DataFrame, fields: Iterable[int] | None = None,
     return df
 
 
+def events_of_selection(events: DataFrame, selection: DataFrame) -> DataFrame:
+    """E4 for a selection of the catalogue (C9-C11, any rows with ``variable_name``). The selection, bounded by the definitions,
+    is broadcast; where it comes from a stored table (``Study.stored_catalogue``) its names prune the folders at run time."""
+    names = selection.select(F.col("variable_name").alias("phenotype")).distinct()
+    return events.join(F.broadcast(names), "phenotype", "left_semi").select(*events.columns)
+
+
 def cohort_eids(cohort: DataFrame) -> DataFrame:
     """People in the cohort."""
     return cohort.select("eid").distinct()
@@ -65,13 +72,15 @@ def patient_cohort(cohort: DataFrame, eids: DataFrame) -> DataFrame:
 # F1-F3
 # ----------------------------------------------------------------------------------------------
 
-def first_events(events: DataFrame, cohort: DataFrame, compat: bool = False, clamp: bool = True) -> DataFrame:
-    """F1 + F2 + F3: first event per (eid, phenotype, field) for people in the cohort, with the source
-    label; an event on or before the date of birth (other than the two sentinels) becomes the birth date.
-    ``compat`` reproduces the reference's label list (secondary procedures -> self-report, Q2)."""
-    first = events.groupBy("eid", "phenotype", "field_id").agg(F.min("eventdate").alias("eventdate"))
-    people = cohort.select("eid", "dob")
-    joined = first.join(people, "eid", "inner")
+def earliest(events: DataFrame) -> DataFrame:
+    """The earliest date per (eid, phenotype, field_id). Mergeable: the earliest dates of two sets of events together are the
+    earliest of their earliest dates (``sources.first_store`` keeps them so)."""
+    return events.groupBy("eid", "phenotype", "field_id").agg(F.min("eventdate").alias("eventdate"))
+
+
+def label_first(first: DataFrame, cohort: DataFrame, compat: bool = False, clamp: bool = True) -> DataFrame:
+    """F2 + F3 on earliest dates: the people of the cohort, the source label, no date before birth."""
+    joined = first.join(cohort.select("eid", "dob"), "eid", "inner")
     d = F.col("eventdate")
     if clamp:
         d = F.when((d <= F.col("dob")) & X.not_in_dates(d, C.CLAMP_EXEMPT_DATES), F.col("dob")).otherwise(d)
@@ -82,6 +91,13 @@ def first_events(events: DataFrame, cohort: DataFrame, compat: bool = False, cla
     )
 
 
+def first_events(events: DataFrame, cohort: DataFrame, compat: bool = False, clamp: bool = True) -> DataFrame:
+    """F1 + F2 + F3: first event per (eid, phenotype, field) for people in the cohort, with the source
+    label; an event on or before the date of birth (other than the two sentinels) becomes the birth date.
+    ``compat`` reproduces the reference's label list (secondary procedures -> self-report, Q2)."""
+    return label_first(earliest(events), cohort, compat, clamp)
+
+
 # ----------------------------------------------------------------------------------------------
 # F11
 # ----------------------------------------------------------------------------------------------

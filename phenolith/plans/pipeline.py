@@ -17,6 +17,8 @@ from phenolith.operators import codes as K
 from phenolith.operators import cohort as CO
 from phenolith.operators import events as EV
 from phenolith.operators import extract as XT
+from phenolith.session import scratch_path
+from phenolith.sources.first_store import FirstEventStore
 from phenolith.sources.records import Sources, fixture_sources
 from phenolith.sources.store import EventStore
 
@@ -29,6 +31,17 @@ class Study:
     codes: DataFrame
     matches: DataFrame
     _info: K.MatchInfo | None = None
+    _stored_catalogue: DataFrame | None = None
+
+    @property
+    def stored_catalogue(self) -> DataFrame:
+        """The catalogue as a table in the shared scratch folder (written once). Selections that prune the event store are made
+        from it: Spark drops dynamic pruning at run time where the selection comes from a cached DataFrame."""
+        if self._stored_catalogue is None:
+            path = scratch_path(self.spark, "catalogue")
+            self.catalogue.write.parquet(path)
+            self._stored_catalogue = self.spark.read.parquet(path)
+        return self._stored_catalogue
 
     @property
     def info(self) -> K.MatchInfo:
@@ -122,7 +135,8 @@ class Tables:
 def build_tables(study: Study, root: str, refresh: bool = False, compat: bool = False) -> Tables:
     """The whole workflow, stage by stage, each stage written to ``root`` (shared storage, e.g. below the
     session's checkpoint directory) and read back: events (incremental store, X17/X18), cohort (F4-F9),
-    first events (F1-F3, from the *stored* events), cohort x first events (F10). Writing each stage cuts
+    first events (F1-F3, from their stored state, which a later run updates for the pairs that changed only),
+    cohort x first events (F10). Writing each stage cuts
     the lineage, so a lost executor costs a stage, not the whole chain."""
     root = root.rstrip("/")
     store = EventStore(study.spark, f"{root}/phenotypes")
@@ -133,7 +147,9 @@ def build_tables(study: Study, root: str, refresh: bool = False, compat: bool =
     study.cohort().write.mode("overwrite").parquet(f"{root}/baseline_cohort")
     cohort = spark.read.parquet(f"{root}/baseline_cohort")
 
-    EV.first_events(events, cohort, compat=compat).write.mode("overwrite").parquet(f"{root}/phenotype_first")
+    state = FirstEventStore(spark, f"{root}/earliest")
+    state.update(store)
+    state.first_events(cohort, compat=compat).write.mode("overwrite").parquet(f"{root}/phenotype_first")
     first = spark.read.parquet(f"{root}/phenotype_first")
 
     CO.cohort_phenotype_first(cohort, first).write.mode("overwrite").parquet(f"{root}/cohort_phenotype_first")

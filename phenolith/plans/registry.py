@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith import config as C
+from phenolith.operators import codes as K
 from phenolith.operators import cohort as CO
 from phenolith.operators import dates as D
 from phenolith.operators import describe as R
@@ -28,6 +29,7 @@ from phenolith.session import ensure_checkpoint_dir, scratch_path
 from phenolith.sources import records as L
 from phenolith.schemas import RECORD_COLUMNS
 from phenolith.sources import views
+from phenolith.sources.first_store import FirstEventStore
 from phenolith.sources.store import EventStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +39,12 @@ PHENOTYPE = "renal_decline"
 E4_FIELDS = (41202, 42040)
 E4_PHENOTYPES = ("renal_decline", "sugar_disorder")
 E3_FIELD = 41204
+GROUP = "Circulatory"
 BIOMARKER_TAG, SERUM, PLASMA = "glucose", ("v4i..", "s8i..", "E0r.."), ("e1r..", "s8i..")
 DRUG_WORD = "ring"
 R6_COLUMN, R6_MIN, R6_MAX = "f189", -500.0, 5000.0
+R6_COLUMNS = ("f34", "f52", "f53", "f54", "f21003", "f189", "f21001", "f50", "f21002", "f95", "f94", "f20116", "f20117", "f21000")
+R6_LIMITS = {"f189": (-500.0, 5000.0), "f21003": (40.0, None), "f21001": (None, 30.0), "f53": (0.0, 1.0)}
 SELF_REPORT = (20001, 20002, 20004)
 NONSTANDARD_AGE, NONSTANDARD_BASELINE = (6150,), (6150, 22167)
 
@@ -405,6 +410,13 @@ def e4_events_by_field(spark, sf_dir):
     return EV.events_by_field(_store(spark, sf_dir).read(), E4_FIELDS, E4_PHENOTYPES)
 
 
+@register("e4_events_of_group", O.with_views(
+    "SELECT * FROM phenotypes WHERE phenotype IN ('composite_risk', 'heart_rhythm')", _EVENTS_CTE))
+def e4_events_of_group(spark, sf_dir):
+    selection = K.phenotypes_by_category(_study(spark, sf_dir).stored_catalogue, GROUP)
+    return EV.events_of_selection(_store(spark, sf_dir).read(), selection)
+
+
 @register("e5_delete_phenotype", O.with_views(
     f"SELECT * FROM phenotypes WHERE phenotype <> '{PHENOTYPE}'", _EVENTS_CTE))
 def e5_delete_phenotype(spark, sf_dir):
@@ -449,6 +461,36 @@ def f1_first_events(spark, sf_dir):
     return _study(spark, sf_dir).first_events()
 
 
+#: What is left in the store after the changes of ``f1_updated_first_events``.
+_F1_CHANGED = f"""SELECT * FROM extracted WHERE phenotype <> '{PHENOTYPE}' OR field_id <> {E3_FIELD}
+UNION ALL SELECT * REPLACE (CAST(eventdate - 30 AS DATE) AS eventdate) FROM extracted WHERE phenotype = 'sugar_disorder'"""
+
+
+@register("f1_updated_first_events", O.with_views(
+    O.first_sql(), {"extracted": _ev(), "phenotypes": _F1_CHANGED, "baseline_cohort": O.cohort_sql()}))
+def f1_updated_first_events(spark, sf_dir):
+    """First events kept up to date while the store changes: a first definition, the others, rows that a refresh takes back,
+    earlier events, and a deleted pair."""
+    s = _study(spark, sf_dir)
+    store = EventStore(spark, scratch_path(spark, "phenotypes"))
+    state = FirstEventStore(spark, scratch_path(spark, "earliest"))
+
+    def shifted(phenotype: str, days: int) -> DataFrame:
+        return store.read().where(F.col("phenotype") == phenotype).withColumn("eventdate", F.date_sub("eventdate", days))
+
+    for change in (
+        lambda: extract_phenotypes(s, [PHENOTYPE], store=store, testing=False),
+        lambda: extract_phenotypes(s, store=store, testing=False),
+        lambda: store.append(shifted(PHENOTYPE, 1000)),
+        lambda: extract_phenotypes(s, [PHENOTYPE], store=store, refresh=True, testing=False),
+        lambda: store.append(shifted("sugar_disorder", 30)),
+        lambda: store.delete(PHENOTYPE, E3_FIELD),
+    ):
+        change()
+        state.update(store)
+    return state.first_events(s.cohort())
+
+
 @register("f2_source_labels_compat", O.with_views(O.first_sql(compat=True), _FIRST_CTES))
 def f2_source_labels_compat(spark, sf_dir):
     return _study(spark, sf_dir).first_events(compat=True)
@@ -619,6 +661,15 @@ def r3_report_by_category_compat(spark, sf_dir):
     return R.report_by_category(_store(spark, sf_dir).read(), PHENOTYPE, compat=True)
 
 
+@register("r3_report_of_adult_definitions", O.with_views(
+    f"""SELECT phenotype, coalesce(label, 'selfreport') AS field_id_label, count(DISTINCT eid) AS num_patients, count(*) AS num_events
+FROM phenotypes LEFT JOIN {O.labels_sql(False)} USING (field_id)
+WHERE phenotype NOT IN ('bowel_tumour', 'newborn_jaundice') GROUP BY ALL""", _EVENTS_CTE))
+def r3_report_of_adult_definitions(spark, sf_dir):
+    selection = K.all_phenotypes(_study(spark, sf_dir).stored_catalogue, include_cancer=False, include_neonatal=False)
+    return R.report_of_selection(_store(spark, sf_dir).read(), selection)
+
+
 _R4_SQL = (
     "SELECT eid, CASE sex WHEN '0' THEN 'F' WHEN '1' THEN 'M' ELSE sex END AS sex, yob, mob, date_assess, "
     "assess_centre, country, dob, age_assess, depriv, bmi, height, weight, sysbp, diasbp, "
@@ -669,24 +720,34 @@ def r5_table_one(spark, sf_dir):
     return R.table_one(R.recode_cohort(_stored_cohort(_study(spark, sf_dir))))
 
 
-def _r6_sql() -> str:
-    x = f"TRY_CAST({R6_COLUMN} AS DOUBLE)"
+def _r6_select(column: str, minimum: float | None, maximum: float | None) -> str:
+    x = f"TRY_CAST({column} AS DOUBLE)"
     fin = f"{x} IS NOT NULL AND isfinite({x})"
     q = ", ".join(f"round(quantile_cont(x, {p / 100}), 6) AS decile_{p}" for p in R.R6_PERCENTILES)
-    return O.with_views(
-        "SELECT a.count_all, a.count_missing, a.count_invalid, b.min, b.max, b.count_below_min, b.count_above_max, "
+
+    def outside(sign: str, limit: float | None) -> str:
+        return f"CAST({'NULL' if limit is None else f'sum(CASE WHEN x {sign} {limit} THEN 1 ELSE 0 END)'} AS BIGINT)"
+
+    return (
+        f"SELECT '{column}' AS variable, a.count_all, a.count_missing, a.count_invalid, b.min, b.max, b.count_below_min, b.count_above_max, "
         + ", ".join(f"b.decile_{p}" for p in R.R6_PERCENTILES) + ", b.median, b.std, b.IQR FROM "
-        f"(SELECT count(*) AS count_all, CAST(sum(CASE WHEN {R6_COLUMN} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS count_missing, "
-        f"CAST(sum(CASE WHEN {R6_COLUMN} IS NOT NULL AND ({x} IS NULL OR isnan({x})) THEN 1 ELSE 0 END) AS BIGINT) "
+        f"(SELECT count(*) AS count_all, CAST(sum(CASE WHEN {column} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS count_missing, "
+        f"CAST(sum(CASE WHEN {column} IS NOT NULL AND ({x} IS NULL OR isnan({x})) THEN 1 ELSE 0 END) AS BIGINT) "
         "AS count_invalid FROM baseline_cohort) a, "
-        f"(SELECT round(min(x), 6) AS min, round(max(x), 6) AS max, "
-        f"CAST(sum(CASE WHEN x < {R6_MIN} THEN 1 ELSE 0 END) AS BIGINT) AS count_below_min, "
-        f"CAST(sum(CASE WHEN x > {R6_MAX} THEN 1 ELSE 0 END) AS BIGINT) AS count_above_max, {q}, "
+        f"(SELECT round(min(x), 6) AS min, round(max(x), 6) AS max, {outside('<', minimum)} AS count_below_min, "
+        f"{outside('>', maximum)} AS count_above_max, {q}, "
         "round(quantile_cont(x, 0.5), 6) AS median, round(stddev_pop(x), 6) AS std, "
         "round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) AS IQR "
-        f"FROM (SELECT {x} AS x FROM baseline_cohort WHERE {fin}) f) b", _COHORT_CTE)
+        f"FROM (SELECT {x} AS x FROM baseline_cohort WHERE {fin}) f) b")
 
 
-@register("r6_column_profile", _r6_sql())
+@register("r6_column_profile", O.with_views(
+    f"SELECT * EXCLUDE (variable) FROM ({_r6_select(R6_COLUMN, R6_MIN, R6_MAX)})", _COHORT_CTE))
 def r6_column_profile(spark, sf_dir):
     return R.describe_values(_study(spark, sf_dir).cohort(), R6_COLUMN, R6_MIN, R6_MAX)
+
+
+@register("r6_all_columns", O.with_views(
+    "\nUNION ALL\n".join(_r6_select(c, *R6_LIMITS.get(c, (None, None))) for c in R6_COLUMNS), _COHORT_CTE))
+def r6_all_columns(spark, sf_dir):
+    return R.describe_columns(_stored_cohort(_study(spark, sf_dir)), R6_COLUMNS, R6_LIMITS)

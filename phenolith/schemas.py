@@ -14,6 +14,8 @@ PHENOTYPES = T.StructType([
     T.StructField("data_value", T.FloatType()),
 ])
 PHENOTYPE_COLUMNS = [f.name for f in PHENOTYPES.fields]
+#: The earliest event date of each person, definition and field, before cohort and birth date are looked at.
+EARLIEST = T.StructType([PHENOTYPES[c] for c in ("eid", "phenotype", "field_id", "eventdate")])
 
 # column lists of the record files (the columns the engine reads; extra columns in a file are ignored)
 RECORD_COLUMNS = {

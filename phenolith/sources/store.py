@@ -20,7 +20,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from phenolith.schemas import PHENOTYPE_COLUMNS, PHENOTYPES
+from phenolith.schemas import PHENOTYPES
 
 PARTITION_COLUMNS = ("field_id", "phenotype")
 Pair = tuple[str, int]
@@ -31,6 +31,9 @@ class ConflictingWrite(RuntimeError):
 
 
 class EventStore:
+    #: Columns of a row; the partition columns among them.
+    SCHEMA = PHENOTYPES
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -104,7 +107,7 @@ class EventStore:
         commit = uuid.uuid4().hex
         # rebalance (not repartition): rows of one (field, phenotype) are grouped for few files per folder,
         # while AQE splits a hot group over several tasks instead of sending it to one
-        (events.select(*PHENOTYPE_COLUMNS).hint("rebalance", *PARTITION_COLUMNS)
+        (events.select(*self.SCHEMA.names).hint("rebalance", *PARTITION_COLUMNS)
          .write.partitionBy(*PARTITION_COLUMNS).parquet(f"{self.path}/data/commit={commit}"))
         keys = []
         for st in self._fs.globStatus(self._path("data", f"commit={commit}", "field_id=*", "phenotype=*")) or []:
@@ -128,7 +131,7 @@ class EventStore:
 
     def _read(self, folders: Mapping[str, list[str]]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], PHENOTYPES)
+            return self.spark.createDataFrame([], self.SCHEMA)
         held: dict[str, set[str]] = {}
         for key, commits in folders.items():
             for commit in commits:
@@ -139,8 +142,8 @@ class EventStore:
             there = len(self._fs.globStatus(self._path("data", f"commit={commit}", "field_id=*", "phenotype=*")) or [])
             paths += [top] if there == len(keys) else [
                 f"{top}/field_id={f}/phenotype={self._escape(p)}" for p, f in map(self._pair, sorted(keys))]
-        schema = T.StructType([*PHENOTYPES.fields, T.StructField("commit", T.StringType())])
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*PHENOTYPE_COLUMNS)
+        schema = T.StructType([*self.SCHEMA.fields, T.StructField("commit", T.StringType())])
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*self.SCHEMA.names)
 
     # -- what is extracted (from the manifest, no data read) -----------------------------------------
     def partitions(self) -> list[Pair]:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from phenolith.operators import codes as K
+from phenolith.operators import events as EV
 from phenolith.operators import extract as XT
 from phenolith.plans.pipeline import Study, extract_phenotypes
 from phenolith.schemas import RECORD_COLUMNS
@@ -15,7 +18,7 @@ from phenolith.sources.store import EventStore
 from conftest import SF_SMALL
 
 WRITING = {"l1_wide_csv", "l3_load_hesin", "l3_rejects", *(f"l3_{t}_all_columns" for t in RECORD_COLUMNS), "x18_changed_codes", "l8_append_events", "x18_skip_extracted", "x18_refresh", "e5_delete_phenotype",
-           "e6_delete_phenotype_field", "r6_column_profile"}
+           "e6_delete_phenotype_field", "r6_column_profile", "r6_all_columns", "f1_updated_first_events"}
 
 
 def plan(df) -> str:
@@ -25,6 +28,17 @@ def plan(df) -> str:
     return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
 
 
+def leaves(node) -> list:
+    """The scans of an adaptive plan that has run."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return leaves(node.executedPlan())
+    if name.endswith("QueryStage"):
+        return leaves(node.plan())
+    inner = [node.children().apply(i) for i in range(node.children().size())]
+    return [n for child in inner for n in leaves(child)] if inner else [node]
+
+
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
 def test_no_cross_products(spark, name):
     p = plan(entry.queries()[name](spark, SF_SMALL))
@@ -108,3 +122,14 @@ def test_first_event_selection_is_hash_aggregated(spark, stored):
 
     p = plan(EV.phenotype_first(stored.first_events()))
     assert "SortAggregate" not in p.split("Union")[0]
+
+
+def test_a_catalogue_selection_prunes_folders_at_run_time(spark, stored):
+    store = EventStore(spark, scratch_path(spark, "phenotypes"))
+    extract_phenotypes(stored, store=store, testing=False)
+    renal = EV.events_of_selection(store.read(), K.phenotypes_by_category(stored.stored_catalogue, "Renal"))
+    assert "dynamicpruning" in plan(renal)
+    folders = {p for p in store.partitions() if p[0] in ("renal_decline", "empty_gp")}
+    assert {(r.phenotype, r.field_id) for r in renal.collect()} == folders and len(folders) < len(store.partitions())
+    (scan,) = [n for n in leaves(renal._jdf.queryExecution().executedPlan()) if n.metrics().contains("numPartitions")]
+    assert scan.metrics().apply("numPartitions").value() == len(folders)

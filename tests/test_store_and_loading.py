@@ -277,3 +277,38 @@ def test_build_tables_stage_by_stage(spark, study):
     want = CO.cohort_phenotype_first(cohort, study.first_events(cohort=cohort))
     assert sorted(map(tuple, t.cohort_phenotype_first.collect())) == sorted(map(tuple, want.collect()))
     assert t.phenotypes.count() == study.events().count()
+
+
+def test_profile_of_many_columns_matches_numpy_and_the_single_profile(spark):
+    rng = np.random.default_rng(5)
+    n = 400
+    table = {"a b": rng.normal(size=n), "ties": rng.integers(0, 3, n).astype(float), "same": np.full(n, 7.0), "big": rng.normal(size=n) * 1e200}
+    odd = [None, "x", "nan", "inf", "", " 12 "]
+    data = [(*(float(v[i]) for v in table.values()), odd[i % len(odd)] if i % 3 else str(i), None, "text", i if i % 5 else None) for i in range(n)]
+    df = spark.createDataFrame(data, "`a b` double, ties double, same double, big double, odd string, empty double, words string, whole int")
+    columns = [*df.columns, "odd"]
+    limits = {"a b": (-0.5, None), "ties": (1.0, 1.0), "words": (0.0, 1.0), "odd": (None, 50.0)}
+    cells = R.column_cells(df, columns)
+    for range_values in (R.RANGE_VALUES, 37, 1):
+        got = {r.variable: r for r in R.describe_cells(cells, limits, range_values).collect()}
+        assert sorted(got) == sorted(df.columns)
+        for c in df.columns:
+            if " " in c:
+                continue
+            one = R.describe_values(df, c, *limits.get(c, (None, None))).first()
+            assert {k: got[c][k] for k in one.asDict()} == pytest.approx(one.asDict(), nan_ok=True), c
+        for c, xs in table.items():
+            assert [got[c][f"decile_{p}"] for p in R.R6_PERCENTILES] == pytest.approx(np.percentile(xs, R.R6_PERCENTILES), abs=1e-5)
+            assert got[c]["median"] == pytest.approx(np.median(xs), abs=1e-5)
+    assert R.describe_columns(df.limit(0), columns).count() == 0
+
+
+def test_profile_of_a_long_table(spark):
+    """The long survey table is profiled by field, however many fields there are."""
+    long = spark.range(3000).select((F.col("id") % 300).alias("field"), F.col("id").cast("string").alias("value"))
+    cells = long.select(F.col("field").cast("string").alias("variable"), F.lit(False).alias("missing"), F.col("value").cast("double").alias("x"))
+    rows = {int(r.variable): r for r in R.describe_cells(cells).collect()}
+    assert len(rows) == 300
+    for f in (0, 7, 299):
+        xs = np.arange(f, 3000, 300)
+        assert rows[f].median == np.median(xs) and rows[f].decile_10 == pytest.approx(np.percentile(xs, 10)) and rows[f].count_all == 10
