@@ -42,6 +42,8 @@ CATALOGUE_SCHEMA = (
 
 # a code table of at most this many bytes is broadcast; beyond it the join shuffles
 BROADCAST_BYTES = 64 << 20
+#: Codes of a list that is pushed to the scan as a lookup, at most (values past Spark's inFilterThreshold become a range).
+POINT_CODES = 200
 
 
 class UnknownPhenotypeError(ValueError):
@@ -355,6 +357,8 @@ class MatchInfo:
     fields: tuple[int, ...]
     qual_fields: tuple[int, ...]
     fields_by_kind: dict[str, tuple[int, ...]] | None = None
+    #: The GP codes, where they are few enough to be looked up (at most ``POINT_CODES``).
+    gp_codes: tuple[str, ...] | None = None
 
     def kind_fields(self, kind: str) -> tuple[int, ...]:
         """Fields with codes of one match kind (exact / prefix / biomarker)."""
@@ -373,10 +377,12 @@ def match_info(matches: DataFrame) -> MatchInfo:
         F.sort_array(F.collect_set("qual_field")).alias("quals"),
         *[F.sort_array(F.collect_set(F.when(F.col("match") == k, F.col("field_id")))).alias(k)
           for k in ("exact", "prefix", "biomarker")],
-    ).first()
+        F.collect_set(F.when((F.col("match") == "exact") & (F.col("field_id") == C.F_GP_CLINICAL), F.col("code"))).alias("gp"),
+    ).withColumn("gp", F.when(F.size("gp") <= POINT_CODES, F.sort_array("gp"))).first()
     return MatchInfo(int(r.n), int(r.bytes), tuple(int(x) for x in r.lens), tuple(int(x) for x in r.fields),
                      tuple(int(x) for x in r.quals),
-                     {k: tuple(int(x) for x in r[k]) for k in ("exact", "prefix", "biomarker")})
+                     {k: tuple(int(x) for x in r[k]) for k in ("exact", "prefix", "biomarker")},
+                     None if r.gp is None else tuple(r.gp))
 
 
 def table_bytes(df: DataFrame) -> Column:

@@ -196,6 +196,8 @@ def extract_primary_care(sources: Sources, matches: DataFrame, prevalent: bool |
     recs = sources.gp_clinical.select(
         "eid", F.lit(C.F_GP_CLINICAL).alias("field_id"), F.col("read_code").alias("field_value"), "eventdate"
     ).where(F.col("field_value").isNotNull())
+    if info.gp_codes is not None:  # few codes: the scan skips row groups without them (records.write_by_code)
+        recs = recs.where(F.col("field_value").isin(*info.gp_codes) if info.gp_codes else F.lit(False))
     hit = match_exact(recs, m, info=info)
     eventdate = F.when(F.col("type") == "prevalent", X.date_unknown()) \
         .otherwise(F.coalesce(F.col("eventdate"), X.date_unknown()))
@@ -334,7 +336,7 @@ def extract_nonstandard(sources: Sources, matches: DataFrame) -> DataFrame:
 
 def extract_gp_biomarker(sources: Sources, tag: str, serum_codes: Iterable[str], plasma_codes: Iterable[str]) -> DataFrame:
     """Measurement rows for serum and plasma code lists as ``<tag>_serum`` / ``<tag>_plasma``.
-    Provider 2 reports value2 with unit value3, the others value1 without unit; a unit must be NULL or
+    The scan skips row groups without any of the codes. Provider 2 reports value2 with unit value3, the others value1 without unit; a unit must be NULL or
     one of the accepted units. Both lists probe one table, which Spark broadcasts if it is small (a code in both gives two rows)."""
     spark = sources.gp_clinical.sparkSession
     rows = [(c, f"{tag}_serum") for c in dict.fromkeys(serum_codes)] + \
@@ -345,6 +347,7 @@ def extract_gp_biomarker(sources: Sources, tag: str, serum_codes: Iterable[str],
         F.when(F.col("data_provider") == 2, F.col("value2")).otherwise(F.col("value1")).alias("_v"),
         F.when(F.col("data_provider") == 2, F.col("value3")).alias("_unit"),
     ).where(F.col("_unit").isNull() | F.col("_unit").isin(*C.BIOMARKER_UNITS))
+    g = g.where(F.col("code").isin(*{c for c, _ in rows}) if rows else F.lit(False))
     hit = g.join(lists, "code", "inner").withColumn("field_id", F.lit(C.F_GP_CLINICAL)) \
         .withColumnRenamed("code", "field_value")
     return _out(hit, F.col("eventdate"), X.try_cast(F.col("_v"), "float"))

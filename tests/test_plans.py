@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from phenolith import config as C
 from phenolith.operators import codes as K
 from phenolith.operators import events as EV
 from phenolith.operators import extract as XT
@@ -133,3 +136,38 @@ def test_a_catalogue_selection_prunes_folders_at_run_time(spark, stored):
     assert {(r.phenotype, r.field_id) for r in renal.collect()} == folders and len(folders) < len(store.partitions())
     (scan,) = [n for n in leaves(renal._jdf.queryExecution().executedPlan()) if n.metrics().contains("numPartitions")]
     assert scan.metrics().apply("numPartitions").value() == len(folders)
+
+
+def test_a_few_gp_codes_read_few_rows(spark, stored):
+    """Records in code order: a lookup reads the row groups that may hold its codes, whatever share a hot code has."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 200_000
+    code = F.when(F.col("id") % 3 == 0, F.lit("hot..")).otherwise(F.concat(F.lit("C"), F.lpad((F.xxhash64("id") % 500 + 500).cast("string"), 4, "0")))
+    records = spark.range(n).select((F.col("id") % 997).alias("eid"), F.lit(1).alias("data_provider"), code.alias("read_code"),
+                                    F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 3650).cast("int")).alias("eventdate"),
+                                    F.col("id").cast("string").alias("value1"), F.lit(None).cast("string").alias("value2"),
+                                    F.lit(None).cast("string").alias("value3"))
+    path = scratch_path(spark, "gp")
+    hadoop.setInt("parquet.block.size", 64 * 1024)
+    try:
+        L.write_by_code(records, path)
+    finally:
+        hadoop.unset("parquet.block.size")
+    gp = spark.read.parquet(path)
+    wanted = ["C0007", "C0700"]
+
+    def rows_read(df) -> int:
+        df.collect()
+        return sum(x.metrics().apply("numOutputRows").value() for x in leaves(df._jdf.queryExecution().executedPlan())
+                   if x.nodeName().startswith("Scan parquet"))
+
+    found = XT.extract_gp_biomarker(replace(stored.sources, gp_clinical=gp), "glucose", wanted[:1], wanted[1:])
+    assert rows_read(found) < n / 10
+    assert found.count() == records.where(F.col("read_code").isin(*wanted)).count() > 0
+    assert gp.count() == n and gp.exceptAll(records).isEmpty()
+    matches = stored.matches.where(F.col("field_id") == C.F_GP_CLINICAL).limit(1).withColumn("code", F.lit(wanted[0]))
+    diagnoses = XT.extract_primary_care(replace(stored.sources, gp_clinical=gp), matches)
+    assert rows_read(diagnoses) < n / 10
+    assert diagnoses.count() == records.where(F.col("read_code") == wanted[0]).count()
+    none = XT.extract_gp_biomarker(replace(stored.sources, gp_clinical=gp), "glucose", [], [])
+    assert none.count() == 0
