@@ -113,35 +113,48 @@ def extract_hospital(sources: Sources, matches: DataFrame,
                      info: K.MatchInfo | None = None, hits: DataFrame | None = None) -> DataFrame:
     fields = tuple(fields)
     hits = value_hits(sources, matches, info) if hits is None else hits
+    out = None
+    for hesin, diag, oper in sources.parts("hospital"):  # one part, or those of bucketed tables
+        rows = _hospital_events(hesin, diag, oper, fields, hits, apart=sources.families is not None)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _hospital_events(hesin: DataFrame, diag: DataFrame, oper: DataFrame, fields: tuple[int, ...], hits: DataFrame,
+                     apart: bool) -> DataFrame:
+    """Diagnoses and procedures joined to their episodes: once for both, or ``apart`` where the tables are bucketed (each join
+    then works without a shuffle, and a union of both would hide the buckets)."""
     parts = []
     diag_levels = [lv for lv, f in enumerate(HOSPITAL_DIAG_FIELDS, start=1) if f in fields]
     oper_levels = [lv for lv, f in enumerate(HOSPITAL_OPER_FIELDS, start=1) if f in fields]
     if diag_levels:
-        parts.append(sources.hesin_diag.where(F.col("level").isin(*diag_levels)).select(
+        parts.append(diag.where(F.col("level").isin(*diag_levels)).select(
             "eid", "ins_index",
             F.when(F.col("level") == 1, F.lit(C.F_HOSP_DIAG_MAIN))
             .when(F.col("level") == 2, F.lit(C.F_HOSP_DIAG_SEC)).alias("field_id"),
             F.col("diag_icd10").alias("field_value"), X.null_date().alias("opdate")))
     if oper_levels:  # plain level filters reach the Parquet reader; the derived field_id would not
-        parts.append(sources.hesin_oper.where(F.col("level").isin(*oper_levels)).select(
+        parts.append(oper.where(F.col("level").isin(*oper_levels)).select(
             "eid", "ins_index",
             F.when(F.col("level") == 1, F.lit(C.F_HOSP_OPER_MAIN))
             .when(F.col("level") == 2, F.lit(C.F_HOSP_OPER_SEC)).alias("field_id"),
             F.col("oper4").alias("field_value"), "opdate"))
-    recs = parts[0]
-    for p in parts[1:]:
-        recs = recs.unionByName(p)
-    recs = recs.where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
-    hit = match_prefix(recs, hits)
-    episodes = sources.hesin.select("eid", "ins_index", "admidate", "epistart")
-    joined = hit.join(episodes, ["eid", "ins_index"], "inner")
-    is_diag = F.col("field_id").isin(*HOSPITAL_DIAG_FIELDS)
-    eventdate = (
-        F.when(is_diag & (F.col("type") == "prevalent"), X.date_unknown())
-        .when(is_diag, F.coalesce("admidate", "epistart"))
-        .otherwise(F.coalesce("opdate", "admidate", "epistart", X.date_unknown()))
-    )
-    return _out(joined, eventdate)
+    if not apart and len(parts) == 2:
+        parts = [parts[0].unionByName(parts[1])]
+    episodes = hesin.select("eid", "ins_index", "admidate", "epistart")
+    out = None
+    for recs in parts:
+        recs = recs.where(F.col("field_id").isin(*fields) & F.col("field_value").isNotNull())
+        joined = match_prefix(recs, hits).join(episodes, ["eid", "ins_index"], "inner")
+        is_diag = F.col("field_id").isin(*HOSPITAL_DIAG_FIELDS)
+        eventdate = (
+            F.when(is_diag & (F.col("type") == "prevalent"), X.date_unknown())
+            .when(is_diag, F.coalesce("admidate", "epistart"))
+            .otherwise(F.coalesce("opdate", "admidate", "epistart", X.date_unknown()))
+        )
+        rows = _out(joined, eventdate)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def extract_hospital_diagnoses(sources: Sources, matches: DataFrame, level: int | None = None,
@@ -167,8 +180,16 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
                   info: K.MatchInfo | None = None, hits: DataFrame | None = None) -> DataFrame:
     fields = tuple(fields)
     hits = value_hits(sources, matches, info) if hits is None else hits
+    out = None
+    for death, cause in sources.parts("deaths"):
+        rows = _death_events(death, cause, fields, hits)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _death_events(death: DataFrame, cause: DataFrame, fields: tuple[int, ...], hits: DataFrame) -> DataFrame:
     levels = [lv for lv, f in enumerate(DEATH_FIELDS, start=1) if f in fields]
-    recs = sources.death_cause.where(F.col("level").isin(*levels)).select(
+    recs = cause.where(F.col("level").isin(*levels)).select(
         "eid",
         F.when(F.col("level") == 1, F.lit(C.F_DEATH_PRIMARY))
         .when(F.col("level") == 2, F.lit(C.F_DEATH_SECONDARY)).alias("field_id"),
@@ -177,7 +198,7 @@ def extract_death(sources: Sources, matches: DataFrame, fields: Iterable[int] =
     hit = match_prefix(recs, hits)
     # pre-aggregate the death records to (eid, date, multiplicity): the join becomes many-to-one and
     # the reference's row multiplication is restored by a local generate after it
-    deaths = sources.death.groupBy("eid", "date_of_death").agg(F.count(F.lit(1)).cast("int").alias("_k"))
+    deaths = death.groupBy("eid", "date_of_death").agg(F.count(F.lit(1)).cast("int").alias("_k"))
     joined = hit.join(deaths, "eid", "inner")
     joined = joined.withColumn("_r", F.explode(F.array_repeat(F.lit(0), F.col("_k"))))
     return _out(joined, F.col("date_of_death"))

@@ -18,6 +18,7 @@ from phenolith.operators import cohort as CO
 from phenolith.operators import events as EV
 from phenolith.operators import extract as XT
 from phenolith.session import scratch_path
+from phenolith.sources.bucketed import BucketedTables
 from phenolith.sources.first_store import FirstEventStore
 from phenolith.sources.records import Sources, fixture_sources
 from phenolith.sources.store import EventStore
@@ -132,25 +133,32 @@ class Tables:
     cohort_phenotype_first: DataFrame
 
 
-def build_tables(study: Study, root: str, refresh: bool = False, compat: bool = False) -> Tables:
+def build_tables(study: Study, root: str, refresh: bool = False, compat: bool = False, buckets: int | None = None) -> Tables:
     """The whole workflow, stage by stage, each stage written to ``root`` (shared storage, e.g. below the
     session's checkpoint directory) and read back: events (incremental store, X17/X18), cohort (F4-F9),
     first events (F1-F3, from their stored state, which a later run updates for the pairs that changed only),
     cohort x first events (F10). Writing each stage cuts
-    the lineage, so a lost executor costs a stage, not the whole chain."""
+    the lineage, so a lost executor costs a stage, not the whole chain. With ``buckets`` the tables of people are written in that
+    many buckets by eid (each person has a bounded number of rows in them): cohort and earliest dates are shuffled once, when
+    they are written, and neither F1 nor F10 shuffles."""
     root = root.rstrip("/")
     store = EventStore(study.spark, f"{root}/phenotypes")
     extract_phenotypes(study, store=store, refresh=refresh, testing=False)
     events = store.read()
 
     spark = study.spark
-    study.cohort().write.mode("overwrite").parquet(f"{root}/baseline_cohort")
-    cohort = spark.read.parquet(f"{root}/baseline_cohort")
-
     state = FirstEventStore(spark, f"{root}/earliest")
     state.update(store)
-    state.first_events(cohort, compat=compat).write.mode("overwrite").parquet(f"{root}/phenotype_first")
-    first = spark.read.parquet(f"{root}/phenotype_first")
+    if buckets:
+        people = BucketedTables(spark, f"{root}/people", ["eid"], buckets)
+        cohort = people.write_bounded("baseline_cohort", study.cohort())
+        earliest = people.write_bounded("earliest", state.read())
+        first = people.write_bounded("phenotype_first", EV.label_first(earliest, cohort, compat))
+    else:
+        study.cohort().write.mode("overwrite").parquet(f"{root}/baseline_cohort")
+        cohort = spark.read.parquet(f"{root}/baseline_cohort")
+        state.first_events(cohort, compat=compat).write.mode("overwrite").parquet(f"{root}/phenotype_first")
+        first = spark.read.parquet(f"{root}/phenotype_first")
 
     CO.cohort_phenotype_first(cohort, first).write.mode("overwrite").parquet(f"{root}/cohort_phenotype_first")
     merged = spark.read.parquet(f"{root}/cohort_phenotype_first")

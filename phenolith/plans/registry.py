@@ -24,12 +24,13 @@ from phenolith.operators import describe as R
 from phenolith.operators import events as EV
 from phenolith.operators import extract as XT
 from phenolith.plans import oracle as O
-from phenolith.plans.pipeline import Study, extract_phenotypes
+from phenolith.plans.pipeline import Study, build_tables, extract_phenotypes
 from phenolith.session import ensure_checkpoint_dir, scratch_path
 from phenolith.sources import records as L
 from phenolith.schemas import RECORD_COLUMNS
 from phenolith.sources import views
 from phenolith.sources.first_store import FirstEventStore
+from phenolith.sources.records import Sources
 from phenolith.sources.store import EventStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,6 +276,16 @@ def x12_death_causes(spark, sf_dir):
     return XT.extract_death(s.sources, s.matches)
 
 
+@register("x12_bucketed_tables", O.with_views(_ev(fields=[41202, 41204, 41200, 41210, 40001, 40002])))
+def x12_bucketed_tables(spark, sf_dir):
+    """X10, X11 and X12 over stored tables in buckets, joined without a shuffle."""
+    s = _study(spark, sf_dir)
+    root = scratch_path(spark, "bucketed")
+    s.sources.store(root, buckets=8)
+    stored = Sources.open(spark, root)
+    return XT.extract_hospital(stored, s.matches).unionByName(XT.extract_death(stored, s.matches))
+
+
 @register("x13_gp_diagnoses", O.with_views(_ev(fields=[42040])))
 def x13_gp_diagnoses(spark, sf_dir):
     s = _study(spark, sf_dir)
@@ -565,6 +576,12 @@ def f10_cohort_first_events_basic(spark, sf_dir):
     return CO.cohort_phenotype_first(cohort, s.first_events(cohort=cohort), basic=True)
 
 
+@register("f10_bucketed_people", O.with_views(_f10_sql(False), _FIRST_CTES_F))
+def f10_bucketed_people(spark, sf_dir):
+    """The whole workflow with cohort, earliest dates and first events in buckets of eid; F1 and F10 join them without a shuffle."""
+    return build_tables(_study(spark, sf_dir), scratch_path(spark, "run"), buckets=8).cohort_phenotype_first
+
+
 _F11_SQL = (
     "SELECT eid, phenotype, eventdate, field_id FROM (SELECT eid, phenotype, eventdate, field_id, "
     "row_number() OVER (PARTITION BY eid, phenotype ORDER BY eventdate ASC NULLS LAST, field_id ASC) AS rn "

@@ -25,6 +25,7 @@ from phenolith.functions import exprs as X
 from phenolith.schemas import RECORD_COLUMNS, RECORD_DATE_COLUMNS, RECORD_INT_COLUMNS
 from phenolith.session import scratch_path
 from phenolith.sources import delimited, views
+from phenolith.sources.bucketed import BucketedTables
 
 
 @dataclass
@@ -42,17 +43,31 @@ class Sources:
     gp_prescriptions: DataFrame
     #: Index of the distinct (field_id, field_value) of the fields whose codes are matched by prefix; a load stores it.
     values: DataFrame | None = None
+    #: The tables of a family in :data:`FAMILIES`, where they are stored in buckets of its key.
+    families: dict[str, BucketedTables] | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in dc_fields(self) if f.name != "values"}
+        return {f.name: getattr(self, f.name) for f in dc_fields(self) if f.name not in ("values", "families")}
+
+    def parts(self, family: str) -> list[tuple[DataFrame, ...]]:
+        """The tables of a family, in parts that can be joined by its key one by one."""
+        _, names = FAMILIES[family]
+        if self.families is None:
+            return [tuple(getattr(self, n) for n in names)]
+        return self.families[family].parts(*names)
 
     def coded_values(self) -> DataFrame:
         """The value index: the stored one, or made from the records."""
         return coded_values(self) if self.values is None else self.values
 
-    def store(self, root: str) -> None:
-        """Write every table as Parquet below ``root``, the long table partitioned by field."""
+    def store(self, root: str, buckets: int | None = None) -> None:
+        """Write every table as Parquet below ``root``, the long table partitioned by field; with ``buckets``, the tables of
+        :data:`FAMILIES` in that many buckets of their key."""
+        if buckets:
+            _store_families(self, root, buckets)
         for name, df in self.as_dict().items():
+            if buckets and name in _IN_FAMILIES:
+                continue
             if name == "baseline":
                 write_long(df, f"{root}/{name}")
             elif name == "gp_clinical":
@@ -64,9 +79,24 @@ class Sources:
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "Sources":
         """The tables that :meth:`store` left below ``root``."""
-        tables = {f.name: spark.read.parquet(f"{root}/{f.name}") for f in dc_fields(cls)}  # values too
+        families = {f: BucketedTables.open(spark, f"{root}/{f}") for f in FAMILIES if BucketedTables.exists(spark, f"{root}/{f}")}
+        tables = {n: families[f].whole(n) for f in families for n in FAMILIES[f][1]}
+        for f in dc_fields(cls):  # values too
+            if f.name != "families" and f.name not in tables:
+                tables[f.name] = spark.read.parquet(f"{root}/{f.name}")
         tables["baseline"] = tables["baseline"].select("eid", "field", "i", "n", "value")
-        return cls(**tables)
+        return cls(**tables, families=families or None)
+
+
+#: Tables that extraction joins with each other, and the key they are joined by.
+FAMILIES = {"hospital": (("eid", "ins_index"), ("hesin", "hesin_diag", "hesin_oper")), "deaths": (("eid",), ("death", "death_cause"))}
+_IN_FAMILIES = {name for _, names in FAMILIES.values() for name in names}
+
+
+def _store_families(sources: Sources, root: str, buckets: int) -> None:
+    for family, (keys, names) in FAMILIES.items():
+        tables = BucketedTables(sources.baseline.sparkSession, f"{root}/{family}", keys, buckets)
+        tables.write({n: getattr(sources, n) for n in names})
 
 
 def coded_values(sources: Sources) -> DataFrame:
@@ -317,14 +347,15 @@ def normalise_gp_registrations(raw: DataFrame, baseline: DataFrame) -> DataFrame
 REJECTS = "table string, file string, line long, column string, value string, reason string"
 
 
-def load_table(spark: SparkSession, path: str, table: str, root: str, baseline: DataFrame, every_column: bool = True) -> int:
-    """One record file -> ``root/<table>``, typed and repaired; returns how many values were rejected. These are counted in the
+def load_table(spark: SparkSession, path: str, table: str, root: str, baseline: DataFrame, every_column: bool = True,
+               staged: str | None = None) -> int:
+    """One record file -> ``root/<table>`` (or ``staged``), typed and repaired; returns how many values were rejected. These are counted in the
     pass that writes the table, and listed below ``root/rejects`` by a second pass only where there are some."""
     records, columns = _typed_records(spark, path, table, every_column)
     seen = Observation(f"load {table}")
     typed = records.observe(seen, F.sum(F.size("_rejects")).alias("rejected")).select(*[F.col(f"`{c}`") for c in columns])
     repair = {"gp_clinical": normalise_gp_clinical, "gp_registrations": normalise_gp_registrations}.get(table)
-    target = f"{root}/{table}" if repair is None else scratch_path(spark, f"typed-{table}")
+    target = (staged or f"{root}/{table}") if repair is None else scratch_path(spark, f"typed-{table}")
     typed.write.mode("overwrite").parquet(target)
     if repair is not None:  # the repair reads its input twice: the file is parsed once
         repaired = repair(spark.read.schema(typed.schema).parquet(target), baseline)
@@ -338,17 +369,22 @@ def load_table(spark: SparkSession, path: str, table: str, root: str, baseline:
     return rejected
 
 
-def load_files(spark: SparkSession, wide: str, files: dict[str, str], root: str, every_column: bool = True) -> Sources:
+def load_files(spark: SparkSession, wide: str, files: dict[str, str], root: str, every_column: bool = True,
+               buckets: int | None = None) -> Sources:
     """The load: the wide survey file and the eight record files (``files``: table -> path) become typed and repaired Parquet
-    tables below ``root``, once; :meth:`Sources.open` reads them from then on, :func:`rejects` what was not loaded."""
+    tables below ``root``, once; :meth:`Sources.open` reads them from then on, :func:`rejects` what was not loaded. With
+    ``buckets``, the tables of :data:`FAMILIES` are stored in that many buckets of their key (typed first in the scratch folder)."""
     if absent := sorted(RECORD_COLUMNS.keys() - files.keys()):
         raise ValueError(f"no file for {', '.join(absent)}")
     write_long(wide_csv_to_long(spark, wide), f"{root}/baseline")
     wide_rejects(spark, wide).write.mode("overwrite").parquet(f"{root}/rejects/table=baseline")
     baseline = spark.read.parquet(f"{root}/baseline").select("eid", "field", "i", "n", "value")
-    for table in RECORD_COLUMNS:
-        load_table(spark, files[table], table, root, baseline, every_column)
-    stored = Sources(baseline=baseline, **{t: spark.read.parquet(f"{root}/{t}") for t in RECORD_COLUMNS})
+    paths = {t: scratch_path(spark, f"typed-{t}") if buckets and t in _IN_FAMILIES else f"{root}/{t}" for t in RECORD_COLUMNS}
+    for table, path in paths.items():
+        load_table(spark, files[table], table, root, baseline, every_column, staged=path)
+    stored = Sources(baseline=baseline, **{t: spark.read.parquet(path) for t, path in paths.items()})
+    if buckets:
+        _store_families(stored, root, buckets)
     _store_values(stored, root)
     return Sources.open(spark, root)
 

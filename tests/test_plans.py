@@ -21,7 +21,8 @@ from phenolith.sources.store import EventStore
 from conftest import SF_SMALL
 
 WRITING = {"l1_wide_csv", "l3_load_hesin", "l3_rejects", *(f"l3_{t}_all_columns" for t in RECORD_COLUMNS), "x18_changed_codes", "l8_append_events", "x18_skip_extracted", "x18_refresh", "e5_delete_phenotype",
-           "e6_delete_phenotype_field", "r6_column_profile", "r6_all_columns", "f1_updated_first_events"}
+           "e6_delete_phenotype_field", "r6_column_profile", "r6_all_columns", "f1_updated_first_events", "x12_bucketed_tables",
+           "f10_bucketed_people"}
 
 
 def plan(df) -> str:
