@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from phenolith.llm import (
-    align, chat, fingerprints, hnsw, html_text, mixing, near_dup, packing, periodic, quality, repeats, simhash, token_files)
+    align, chat, fingerprints, hnsw, html_text, mixing, near_dup, oracles, packing, periodic, quality, repeats, simhash, token_files)
 from phenolith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -76,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_token_alignment, op12_simhash_groups, op13_periodic_runs)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_preference_pairs": oracles.OP6, "op7_near_duplicates": oracles.OP7}
