@@ -264,6 +264,10 @@ def test_load_files_then_open(spark, study, all_events, tmp_path):
     records = [r for r in all_events if r[2] in (41202, 41204, 41200, 41210, 40001, 40002, 42040)]
     got = Study.open(spark, f"{root}/tables").events().where(F.col("field_id").isin(41202, 41204, 41200, 41210, 40001, 40002, 42040))
     assert sorted(tuple(r) for r in got.collect()) == records
+    in_buckets = L.load_files(spark, f"{root}/wide", files, f"{root}/buckets", buckets=4)
+    assert set(in_buckets.families) == {"hospital", "deaths"} and not os.path.exists(f"{root}/buckets/hesin")
+    for name in ("hesin", "hesin_diag", "hesin_oper", "death", "death_cause"):
+        assert sorted(map(str, getattr(in_buckets, name).collect())) == sorted(map(str, getattr(loaded, name).collect()))
     with pytest.raises(ValueError, match="no file for death"):
         L.load_files(spark, f"{root}/wide", {k: v for k, v in files.items() if k != "death"}, f"{root}/other")
 
