@@ -72,3 +72,10 @@ def test_the_condition_keeps_every_match(spark, monkeypatch):
     assert many.prefix_codes is None and values.where(K.may_match(many)).count() == values.count()
     none = K.match_info(matches.where(F.col("match") == "exact"))
     assert values.where(K.may_match(none)).count() == 0
+
+
+def test_appended_events_share_the_matched_values(spark, monkeypatch):
+    made, value_hits = [], XT.value_hits
+    monkeypatch.setattr(XT, "value_hits", lambda *a, **kw: made.append(1) or value_hits(*a, **kw))
+    assert entry.queries()["l8_append_events"](spark, SF_SMALL).count() > 0
+    assert len(made) == 1
