@@ -79,3 +79,33 @@ def test_appended_events_share_the_matched_values(spark, monkeypatch):
     monkeypatch.setattr(XT, "value_hits", lambda *a, **kw: made.append(1) or value_hits(*a, **kw))
     assert entry.queries()["l8_append_events"](spark, SF_SMALL).count() > 0
     assert len(made) == 1
+
+
+def test_a_store_in_buckets_makes_each_row_once(spark, study):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        made.add(1)
+        return value
+
+    diag = study.sources.hesin_diag
+    want = bag(diag)
+    once = replace(study.sources, hesin_diag=diag.withColumn("diag_icd10", F.udf(counted, "string")("diag_icd10")))
+    root = scratch_path(spark, "tables")
+    once.store(root, buckets=4)
+    assert made.value == sum(want.values())
+    stored = Sources.open(spark, root)
+    assert bag(stored.hesin_diag.select(*diag.columns)) == want
+    assert bag(stored.values) == bag(study.sources.coded_values())
+
+
+def test_keys_are_counted_only_in_hot_cells(spark, monkeypatch):
+    distinct = spark.range(3000).select(F.col("id").alias("k"))
+    none = bucketed.hot_keys(distinct, ["k"], 4, least=0)
+    assert none.columns == ["k"] and none.count() == 0
+    assert "Exchange" not in none._jdf.queryExecution().executedPlan().toString()
+    rows = distinct.unionByName(spark.range(5000).select(F.lit(7).cast("long").alias("k"))).unionByName(
+        spark.range(9000).select(F.lit(None).cast("long").alias("k")))
+    for cells in (bucketed.CELLS, 3, 1):  # keys that share a cell are told apart
+        monkeypatch.setattr(bucketed, "CELLS", cells)
+        assert [r.k for r in bucketed.hot_keys(rows, ["k"], 4, least=100).collect()] == [7]
